@@ -26,6 +26,7 @@ from tidemark.schema import DOCUMENT, FACEBOOK, REACTIONS, RSS, TWITTER
 from tidemark.session import shared_dir
 from tidemark.sources import landing
 from tidemark.sources import store as S
+from tidemark.sources.staging import staged
 from tidemark.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -512,7 +513,7 @@ FROM_START = C.Marks("1990-01-01", -1, "1990-01-01")
 def enrich_documents(v: Views) -> DataFrame:
     """All collectors, linked pages quoted, in the stored language, with every enrichment column."""
     intake = C.collect(full_landing(v), FROM_START).filter("outcome is null").drop("outcome")
-    return C.enriched(C.staged(intake, "intake"), v.terms).select(
+    return C.enriched(staged(intake, "intake"), v.terms).select(
         "documentID",
         "collectorID",
         "text",
@@ -577,7 +578,7 @@ def sink_insert(v: Views) -> DataFrame:
 def audit_outcomes(v: Views) -> DataFrame:
     """What became of every landed record, language included."""
     seen = C.collect(full_landing(v), C.Marks(), caps=C.Caps(CAP, SINCE_ID, CAP))
-    intake = C.staged(seen, "intake")
+    intake = staged(seen, "intake")
     judged = enrich.with_language(intake).withColumn("outcome", F.coalesce("outcome", audit.language_outcome()))
     return audit.outcome_counts(judged)
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.operators import keys as K
 from tidemark.session import prepare
 from tidemark.sources import landing
 
@@ -42,7 +43,8 @@ class Views:
         self.dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        rows = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return K.spread(rows) if name in ("documents", "pages") else rows
 
     @cached_property
     def pages(self) -> DataFrame:

@@ -8,6 +8,12 @@ classes are spelled out. They mean the same in Java and in RE2.
 WORD = r"[\p{L}\p{N}_]"
 WS = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\p{Z}"
 SPACES = rf"[{WS}]+"
+# The runs that are not already a single blank: replacing only these gives the same text with far fewer
+# replacements.
+UNEVEN_SPACES = (
+    rf"[{WS}]{{2,}}|[\x{{09}}-\x{{0D}}\x{{1C}}-\x{{1F}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
 NOT_SPACE = rf"[^{WS}]"
 
 #: The characters of ``WS`` themselves, for ``trim``.

@@ -90,7 +90,7 @@ def remove_tags(text: Column, multiline: bool = False) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, P.SPACES, " ")
+    return F.regexp_replace(text, P.UNEVEN_SPACES, " ")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

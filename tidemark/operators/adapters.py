@@ -26,10 +26,11 @@ def first_reason(**tests: Column) -> Column:
 def clean_texts(rows: DataFrame, **columns: str) -> DataFrame:
     """Add ``target=source`` columns: tags out, references decoded, spaces collapsed, then URLs out."""
     bare = rows.withColumns({f"_bare_{t}": X.remove_tags(F.col(s)) for t, s in columns.items()})
-    decoded = bare.withColumns(
-        {t: X.remove_urls(X.collapse_spaces(X.decode_entities(F.col(f"_bare_{t}")))) for t in columns}
+    decoded = bare.withColumns({f"_text_{t}": X.decode_entities(F.col(f"_bare_{t}")) for t in columns})
+    cleaned = K.compute_once(
+        decoded, **{t: X.remove_urls(X.collapse_spaces(F.col(f"_text_{t}"))) for t in columns}
     )
-    return decoded.drop(*[f"_bare_{t}" for t in columns])
+    return cleaned.drop(*[f"_{step}_{t}" for step in ("bare", "text") for t in columns])
 
 
 def post_texts(posts: DataFrame, network: str, joiner: str) -> DataFrame:

@@ -14,6 +14,22 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_ROWS = 200_000
 
 
+def compute_once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that they are worked out once, whatever uses them afterwards.
+
+    Catalyst moves a filter below the projection that computes its column and thereby repeats the
+    computation, once per mention. A generator of exactly one row is a border that it does not cross.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.select("*", F.inline(F.array(made)))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a few large files over all cores; no shuffle when there are partitions enough."""
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
+
+
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 
@@ -50,28 +66,29 @@ def balanced_join(
     key: str,
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join with hot keys cut into parts.
 
     ``lookup`` has one row per key and ``how`` is ``inner`` or ``left``. A key with more than
     ``rows_per_task`` fact rows gets its facts spread over several parts and its lookup row repeated once
     per part. The list of hot keys is broadcast: it has at most ``facts / rows_per_task`` rows. Facts
-    without a key are spread over all tasks, since they match nothing.
+    without a key are spread over all tasks, since they match nothing. ``counts`` gives ``key, _rows`` where
+    they are known; else a pass over the key column of ``facts`` finds them.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    # Hot keys are found on the key column alone, so the scan below it is pruned to that column.
+    if counts is None:
+        counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(
-        facts.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col(key).isNotNull() & (F.col("_rows") > rows_per_task))
+        counts.filter(F.col(key).isNotNull() & (F.col("_rows") > rows_per_task))
         .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts"))
     )
-    spread = F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns])
+    place = F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns])
     keyed = facts.join(hot, key, "left").withColumn(
         "_part",
-        F.when(F.col(key).isNull(), spread)
-        .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
+        F.when(F.col(key).isNull(), place)
+        .when(F.col("_parts").isNotNull(), F.pmod(place, F.col("_parts")))
         .otherwise(F.lit(0).cast("bigint")),
     )
     repeated = (
