@@ -247,7 +247,10 @@ told AS (
 )"""
 
 
-OPINION = "coalesce(CAST(greatest(-1.0, least(1.0, round(polarity * 2) / 2)) + CAST(0 AS DOUBLE) AS VARCHAR), '0.0')"
+OPINION = (
+    "CASE WHEN polarity IS NULL THEN '0.0' "
+    "ELSE CAST(greatest(-1.0, least(1.0, round(polarity * 2) / 2)) + CAST(0 AS DOUBLE) AS VARCHAR) END"
+)
 LABEL = "CASE {code} " + " ".join(f"WHEN '{c}' THEN '{label}'" for c, label in config.OPINION_LABELS.items()) + " END"
 
 
