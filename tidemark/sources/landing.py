@@ -38,7 +38,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     """Entries of feed files. A feed is one file of bounded size, so it is read as one value."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return parse_feeds(files.withColumn("_href", F.col("_metadata.file_path")), "value", "_href").drop("_href")
 
 
