@@ -114,21 +114,20 @@ oracle(
 )
 oracle("normalize_feed", f"SELECT {_RSS_COLUMNS} FROM rss_docs", POSTS, V.ENTRIES, V.FEED_DOCS)
 
-# Without linked pages a post with links still ends in the joiner, which leaves no text behind.
-_SHORT = (POSTS, V.ENTRIES, V.NO_CONTENT, V.FACEBOOK_DOCS, V.TWITTER_DOCS, V.FEED_DOCS)
+_EVERY_DOC = (POSTS, V.ENTRIES, V.PARAGRAPHS, V.FACEBOOK_DOCS, V.TWITTER_DOCS, V.FEED_DOCS)
 oracle(
     "filter_nonempty",
     """SELECT 'FB_' || post_id AS "documentID", 'facebook' AS "collectorID", text_out AS text FROM fb_docs WHERE text_out <> ''
     UNION ALL SELECT 'TW_' || post_id, 'twitter', text_out FROM tw_docs
     UNION ALL SELECT 'RSS_' || coalesce(guid, entry_link), 'rss', text_out FROM rss_docs WHERE text_out <> ''""",
-    *_SHORT,
+    *_EVERY_DOC,
 )
 oracle(
     "union_collectors",
     f"""SELECT 'facebook' AS "collectorID", 'interest' AS type, count(*) AS n, count(*) AS with_shares, count(DISTINCT post_id) AS ids FROM fb_docs
     UNION ALL SELECT 'twitter', {_TYPE}, count(*), count(*), count(DISTINCT post_id) FROM tw_docs GROUP BY {_TYPE}
     UNION ALL SELECT 'rss', NULL, count(*), 0, count(DISTINCT coalesce(guid, entry_link)) FROM rss_docs""",
-    *_SHORT,
+    *_EVERY_DOC,
 )
 oracle("text_pick", "SELECT CAST(post_id AS VARCHAR) AS id, text FROM posts", POSTS)
 oracle(

@@ -5,7 +5,6 @@ Arrays are joined with ``|`` so that rows compare as plain values.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -171,19 +170,19 @@ def normalize_feed(v: Views) -> DataFrame:
     return A.feed_documents(v.entries).select(*document_columns())
 
 
-def short_documents(v: Views) -> list[DataFrame]:
-    """Documents of all collectors from the text columns alone, linked pages left out."""
-    nothing = v.pages.filter(F.lit(False))
-    return [
-        A.facebook_documents(A.source_posts(v.facebook_posts, v.sources), nothing),
-        A.twitter_documents(v.tweets, nothing, ACCOUNT),
-        A.feed_documents(v.entries),
-    ]
+def all_documents(v: Views) -> DataFrame:
+    return A.union_documents(
+        [
+            A.facebook_documents(A.source_posts(v.facebook_posts, v.sources), v.pages),
+            A.twitter_documents(v.tweets, v.pages, ACCOUNT),
+            A.feed_documents(v.entries),
+        ]
+    )
 
 
 @query
 def filter_nonempty(v: Views) -> DataFrame:
-    return A.drop_textless(A.union_documents(short_documents(v))).select("documentID", "collectorID", "text")
+    return A.drop_textless(all_documents(v)).select("documentID", "collectorID", "text")
 
 
 @query
@@ -218,8 +217,7 @@ def lang_gate(v: Views) -> DataFrame:
 
 @query
 def collector_subset(v: Views) -> DataFrame:
-    landed = C.Landing(pages=v.pages.filter(F.lit(False)), terms=v.terms, tweets=v.tweets, account=ACCOUNT, entries=v.entries)
-    seen = C.collect(landed, C.Marks(twitter_since_id=SINCE_ID), from_fb=False, from_rss=False)
+    seen = C.collect(full_landing(v), C.Marks(twitter_since_id=SINCE_ID), from_fb=False, from_rss=False)
     return seen.select("documentID", "collectorID", "outcome")
 
 
@@ -351,7 +349,7 @@ def takewhile_since(v: Views) -> DataFrame:
 
 @query
 def union_collectors(v: Views) -> DataFrame:
-    return A.union_documents(short_documents(v)).groupBy("collectorID", "type").agg(
+    return all_documents(v).groupBy("collectorID", "type").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("shares").alias("with_shares"),
         F.countDistinct("documentID").alias("ids"),

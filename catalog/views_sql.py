@@ -193,7 +193,6 @@ rss_docs AS (
     CASE WHEN NOT complete THEN 'missing link' END AS reason
   FROM entries
 )"""
-NO_CONTENT = "content AS (SELECT url, NULL AS body FROM pages WHERE false)"
 
 TERMS = f"""
 openings AS (SELECT {words("text")} AS w FROM benchmark),
