@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import QUERIES, entry, oracle_sql, queries
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,7 +15,7 @@ def db():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, db, name):
     assert difference(queries()[name](spark, SF_DIR), db, oracle_sql()[name]) is None
 

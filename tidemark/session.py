@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 #: Runtime settings; safe to apply to a session somebody else built.
@@ -27,8 +25,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and staged tables, seen by every executor.
 
-    A cluster names it in ``spark.checkpoint.dir``. A machine-local folder is only used in local mode,
-    where the driver and the executors are one process.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in tests, it is a folder below the
+    warehouse of a session in local mode, whose driver and executors are one process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -37,6 +35,4 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    configured = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"

@@ -6,16 +6,53 @@ it is used, and after the loss of an executor files are read again instead of ev
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import shared_dir
 
+#: Folders staged by this driver and not dropped so far, by session.
+_STAGED: dict[str, SparkSession] = {}
+
 
 def staged(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written below the shared folder and read back."""
+    """``rows`` written below the shared folder and read back; the folder goes with :func:`drop` or the driver."""
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED[path] = spark
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove the folders of staged ``tables`` that no later step reads."""
+    for table in tables:
+        folders = {file.rpartition("/")[0] for file in table.inputFiles()}
+        for path in [p for p in _STAGED if any(f.endswith(p.rpartition(":")[2]) for f in folders)]:
+            _delete(_STAGED.pop(path), path)
+
+
+@contextlib.contextmanager
+def scope():
+    """Everything staged inside is removed at the end, whether the work ended well or not."""
+    before = set(_STAGED)
+    try:
+        yield
+    finally:
+        for path in [p for p in _STAGED if p not in before]:
+            _delete(_STAGED.pop(path), path)
+
+
+@atexit.register
+def _at_exit() -> None:
+    for path, spark in list(_STAGED.items()):
+        with contextlib.suppress(Exception):  # the session may have ended
+            _delete(spark, path)
