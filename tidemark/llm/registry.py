@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tidemark.llm.packing import op4_best_fit_packing
+from tidemark.llm.substring_dedup import op10_substring_dedup
 
 LLM_QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 LLM_ORACLES: dict[str, str] = {}
