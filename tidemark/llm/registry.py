@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tidemark.llm.language_id import op1_language_id
+from tidemark.llm.ngram_join import op7_ngram_join
 from tidemark.llm.packing import op4_best_fit_packing
 from tidemark.llm.substring_dedup import op10_substring_dedup
 
 LLM_QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_ngram_join": op7_ngram_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
 LLM_ORACLES: dict[str, str] = {}
