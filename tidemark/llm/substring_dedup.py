@@ -7,11 +7,10 @@ hashed. Runs are joined over all documents; a run that stands somewhere before,
 is a repetition, and every sentence it covers goes. Any passage shared word for word, longer than such a run and the
 two cut sentences at its ends (about 40 words), is therefore found.
 
-The first place is the smallest ``(doc_id, position)``; null ids come last. Nulls, ties and other cases: null texts
-stay null, empty ones empty; equal rows (same id and text) count as one document and have the same result; equal
-texts of different ids keep the first; rows with equal ids and different texts are told apart by their text; white
-space that stood before removed sentences at the end goes too; an empty table gives no rows; all columns of the input
-are kept whatever their names.
+The first place is the smallest ``doc_id`` and there the first position. Nulls, ties and other cases: null texts stay
+null, empty ones empty; rows with one id are one document here and take nothing from each other, rows without id are
+together the last document; equal texts of different ids keep the first; white space before removed sentences at the
+end goes too; an empty table gives no rows; all columns of the input are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, table
-from tidemark.sources.staging import staged
 
 WORDS = 16
 SEVERAL = 2
@@ -95,19 +93,23 @@ def run_hashes(plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in slices(batches):
-        ids, tags, starts, hashes = [], [], [], []
+        ids, tags, starts, hashes, again = [], [], [], [], []
         for doc_id, tag, text in zip(batch["doc_id"], batch["tag"], batch["text"]):
             at, value = run_hashes(sentences(text)[1])
             ids.append(np.repeat(np.array([doc_id], object), len(at)))
             tags.append(np.full(len(at), tag, np.int64))
             starts.append(at)
             hashes.append(value)
+            later = np.ones(len(at), bool)
+            later[np.unique(value, return_index=True)[1]] = False
+            again.append(later)
         yield pd.DataFrame(
             {
                 "run": np.concatenate(hashes),
                 "doc_id": pd.array(np.concatenate(ids), "Int64"),
                 "tag": np.concatenate(tags),
                 "start": np.concatenate(starts).astype(np.int32),
+                "again": np.concatenate(again),
             }
         )
 
@@ -115,15 +117,12 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """doc_id, tag and the starts of all runs that are not the first of their kind."""
     texts = docs.where(F.length("text") > 0).select("doc_id", F.crc32("text").alias("tag"), "text")
-    runs = staged(texts.mapInPandas(_runs, "run bigint, doc_id bigint, tag bigint, start int"), "span-runs")
-    # Nulls last: the smallest place of each run, over all documents.
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag", "start")
-    known = (
-        runs.groupBy("run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
-    )
+    # Hashed once for the counts and once for the join: a stored table of all runs would be as large as the texts.
+    runs = texts.mapInPandas(_runs, "run bigint, doc_id bigint, tag bigint, start int, again boolean")
+    known = runs.groupBy("run").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("places"))
     return (
-        runs.join(known.select("run", "first"), "run")
-        .where(~F.col("first").eqNullSafe(place))
+        runs.join(known.where("places > 1").select("run", "first"), "run")
+        .where(F.col("again") | ~F.col("doc_id").eqNullSafe(F.col("first")))
         .groupBy("doc_id", "tag")
         .agg(F.collect_set("start").alias("starts"))
     )
