@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,14 @@ def slices(batches: Iterator[pd.DataFrame], budget: int = 16 << 20) -> Iterator[
     for batch in batches:
         if len(batch) == 0:
             continue
-        block = (batch["text"].str.len().fillna(0).astype("int64").cumsum() // budget).to_numpy()
+        block = np.cumsum([len(t) if isinstance(t, str) else 0 for t in batch["text"]]) // budget
         for _, part in batch.groupby(block, sort=True):
             yield part.reset_index(drop=True)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "slices", "table", "whole_text"]
+def strings(values: list) -> pd.Series:
+    """A column of strings or lists that Arrow takes as one array even where it is empty."""
+    return pd.Series(values, dtype=object)
+
+
+__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "slices", "strings", "table", "whole_text"]
