@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.byte_bpe import op5_byte_bpe
+from tidemark.llm.fingerprints import op3_spotsigs
 from tidemark.llm.html_extraction import op2_html_extraction
 from tidemark.llm.language_id import op1_language_id
 from tidemark.llm.ngram_join import op7_ngram_join
@@ -12,6 +13,7 @@ from tidemark.llm.substring_dedup import op10_substring_dedup
 LLM_QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_html_extraction": op2_html_extraction,
+    "op3_spotsigs": op3_spotsigs,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_ngram_join": op7_ngram_join,
