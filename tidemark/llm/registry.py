@@ -6,6 +6,7 @@ from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.fingerprints import op3_spotsigs
 from tidemark.llm.html_extraction import op2_html_extraction
 from tidemark.llm.language_id import op1_language_id
+from tidemark.llm.license_scan import op9_license_scan
 from tidemark.llm.ngram_join import op7_ngram_join
 from tidemark.llm.packing import op4_best_fit_packing
 from tidemark.llm.substring_dedup import op10_substring_dedup
@@ -17,6 +18,7 @@ LLM_QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_ngram_join": op7_ngram_join,
+    "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
 LLM_ORACLES: dict[str, str] = {}
