@@ -9,6 +9,7 @@ from tidemark.llm.language_id import op1_language_id
 from tidemark.llm.license_scan import op9_license_scan
 from tidemark.llm.ngram_join import op7_ngram_join
 from tidemark.llm.packing import op4_best_fit_packing
+from tidemark.llm.pitman_yor import op8_pitman_yor
 from tidemark.llm.substring_dedup import op10_substring_dedup
 
 LLM_QUERIES = {
@@ -18,6 +19,7 @@ LLM_QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_ngram_join": op7_ngram_join,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
