@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.fingerprints import op3_spotsigs
 from tidemark.llm.html_extraction import op2_html_extraction
 from tidemark.llm.language_id import op1_language_id
 from tidemark.llm.license_scan import op9_license_scan
+from tidemark.llm.neighbours import op6_learned_partitions
 from tidemark.llm.ngram_join import op7_ngram_join
 from tidemark.llm.packing import op4_best_fit_packing
 from tidemark.llm.pitman_yor import op8_pitman_yor
@@ -18,9 +20,11 @@ LLM_QUERIES = {
     "op3_spotsigs": op3_spotsigs,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_learned_partitions": op6_learned_partitions,
     "op7_ngram_join": op7_ngram_join,
     "op8_pitman_yor": op8_pitman_yor,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLES: dict[str, str] = {}
