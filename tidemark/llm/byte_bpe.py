@@ -41,18 +41,17 @@ WITH RECURSIVE t(w, pos, tok, step) AS (
   SELECT w, pos, tok, 0 FROM start
   UNION ALL
   (WITH pairs AS (
-     SELECT w, pos, tok, lead(tok) OVER word AS right_tok, lead(pos) OVER word AS right_pos
-     FROM t WINDOW word AS (PARTITION BY w ORDER BY pos)),
-   least AS (
-     SELECT w, arg_min({'pos': pos, 'right_pos': right_pos, 'id': id}, id::BIGINT * 65536 + pos) AS pair
+     SELECT w, pos, tok, lead(tok) OVER o AS right_tok, lead(pos) OVER o AS right_pos, lead(w) OVER o AS right_w
+     FROM t WINDOW o AS (ORDER BY w, pos)),
+   least AS (  -- the rank, then the place, of each word's pair; positions are below 1024
+     SELECT w, min(id::BIGINT * 1048576 + pos * 1024 + right_pos) AS pair
      FROM pairs JOIN merges ON left_id = tok AND right_id = right_tok
-     GROUP BY w)
-   SELECT t.w, t.pos, CASE WHEN t.pos = pair.pos THEN pair.id ELSE t.tok END, t.step + 1
+     WHERE w = right_w GROUP BY w)
+   SELECT t.w, t.pos, CASE WHEN t.pos = (pair // 1024) % 1024 THEN (pair // 1048576)::INT ELSE t.tok END, t.step + 1
    FROM t JOIN least ON t.w = least.w
-   WHERE t.pos <> pair.right_pos)
+   WHERE t.pos <> pair % 1024)
 )
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM t) WHERE step = last GROUP BY w ORDER BY w
+SELECT t.w, t.tok FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) ORDER BY t.w, t.pos
 """
 DECODE = """
 SELECT doc, string_agg(hex, '' ORDER BY pos) AS hex FROM tokens JOIN vocabulary USING (id) GROUP BY doc
@@ -98,9 +97,9 @@ class Encoder:
                 "tok": self.byte[raw],
             }
         )
-        ids = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
-        ends = np.append(0, np.cumsum(ids.value_lengths().to_numpy()))
-        flat = ids.flatten().to_numpy().astype("<u4").tobytes()
+        found = self.db.sql(ENCODE).to_arrow_table()
+        flat = found["tok"].to_numpy().astype("<u4").tobytes()
+        ends = np.searchsorted(found["w"].to_numpy(), np.arange(len(words) + 1)).tolist()
         return [flat[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:])]
 
     def _long(self, word: bytes) -> bytes:
