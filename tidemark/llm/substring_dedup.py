@@ -3,7 +3,7 @@
 Texts are cut into sentences (at ``. ! ?`` and line ends; a sentence of more than ``LONG`` words also at commas and
 the like and, where a clause is still longer, after words picked by their own hash, so that a passage is cut alike
 wherever it stands; words that never allow a cut, as one word over and over, are cut by number). From every sentence on, the shortest run of at least ``SEVERAL`` sentences and ``WORDS`` words is
-hashed. Runs are joined over all documents; a run that stands somewhere before, in an earlier document or further up,
+hashed, and so is the shortest such run at the text's end. Runs are joined over all documents; a run that stands somewhere before, in an earlier document or further up,
 is a repetition, and every sentence it covers goes. Any passage shared word for word, longer than such a run and the
 two cut sentences at its ends (about 40 words), is therefore found.
 
@@ -74,23 +74,45 @@ def run_ends(plain: list[str]) -> np.ndarray:
     return np.where(ends <= n, ends, -1)
 
 
+def tail(plain: list[str]) -> int:
+    """Where the shortest run begins that ends with the text; -1 if the text is shorter."""
+    words, start = 0, len(plain)
+    while start and (words < WORDS or len(plain) - start < SEVERAL):
+        start -= 1
+        words += plain[start].count(" ") + 1 if plain[start] else 0
+    return start if words >= WORDS and len(plain) - start >= SEVERAL else -1
+
+
 def run_hashes(plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and 64-bit hashes of the runs of one text."""
+    """Starts and 64-bit hashes of the runs of one text; start ``len(plain)`` is the run at its end."""
     ends = run_ends(plain)
     starts = np.flatnonzero(ends >= 0)
     if not len(starts):
         return starts, np.empty(0, np.int64)
+    begin, stop = starts, ends[starts]
+    last = tail(plain)
+    if ends[last] != len(plain):  # else it is one of the others
+        starts, begin, stop = np.append(starts, len(plain)), np.append(begin, last), np.append(stop, len(plain))
     own = np.fromiter((xxhash.xxh3_64_intdigest(s) for s in plain), np.uint64, len(plain))
     # Horner over the few sentences of a run, all runs at once.
-    size, value = ends[starts] - starts, np.zeros(len(starts), np.uint64)
+    size, value = stop - begin, np.zeros(len(starts), np.uint64)
     for step in range(int(size.max())):
         inside = step < size
-        at = np.minimum(starts + step, len(plain) - 1)
+        at = np.minimum(begin + step, len(plain) - 1)
         value = np.where(inside, (value * _BASE + own[at]) ^ (value >> np.uint64(29)), value)
     value = (value ^ (value >> np.uint64(31))) * _MIX
     return starts, value.view(np.int64)
 
 
+def covered(plain: list[str], starts: np.ndarray) -> np.ndarray:
+    """Which sentences the runs of these starts cover."""
+    begin, ends = np.append(np.arange(len(plain)), tail(plain)), np.append(run_ends(plain), len(plain))
+    edge = np.zeros(len(plain) + 1, np.int64)
+    np.add.at(edge, begin[starts], 1)
+    np.add.at(edge, ends[starts], -1)
+    return np.cumsum(edge)[:-1] > 0
+
+
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in slices(batches):
         ids, tags, starts, hashes, again = [], [], [], [], []
@@ -136,12 +158,9 @@ def _without(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
             removed.append(0)
             continue
         raw, plain = sentences(text)
-        ends, gone = run_ends(plain), np.zeros(len(raw) + 1, np.int64)
-        np.add.at(gone, at, 1)
-        np.add.at(gone, ends[at], -1)
-        covered = np.cumsum(gone)[:-1] > 0
-        kept.append("".join(s for s, c in zip(raw, covered) if not c).rstrip())
-        removed.append(int(covered.sum()))
+        gone = covered(plain, at)
+        kept.append("".join(s for s, c in zip(raw, gone) if not c).rstrip())
+        removed.append(int(gone.sum()))
     return pd.DataFrame({"text": kept, "n_removed": np.array(removed, np.int32)})
 
 
