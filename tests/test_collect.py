@@ -78,6 +78,7 @@ def test_first_and_later_pass(spark, store):
     got = counts(C.process_all(store, first, at=F.lit(datetime(2024, 1, 1, 2))))
     assert got == {
         ("facebook", "stored"): 3, ("facebook", "other language"): 1, ("facebook", "no text"): 1, ("facebook", "rejected"): 1,
+        ("facebook", "duplicate"): 1,
         ("twitter", "stored"): 2, ("twitter", "other language"): 1,
         ("rss", "stored"): 1, ("rss", "other language"): 1, ("rss", "no text"): 1,
     }
@@ -97,10 +98,53 @@ def test_first_and_later_pass(spark, store):
         feeds=[feed("f", (4, 5, SPANISH), (1, 1, SPANISH), (5, 6, SPANISH))],
     )
     got = counts(C.process_all(store, later, at=F.lit(datetime(2024, 1, 1, 9))))
-    assert got == {("facebook", "stored"): 1, ("twitter", "stored"): 1, ("rss", "stored"): 1, ("rss", "before date"): 2}
+    assert got == {
+        ("facebook", "stored"): 1, ("facebook", "before mark"): 1, ("twitter", "stored"): 1, ("twitter", "before mark"): 1,
+        ("rss", "stored"): 1, ("rss", "before date"): 2,
+    }
     assert set(r.documentID for r in store.read().collect()) == {*docs, "FB_7", "TW_12", "RSS_http://r.es/4"}
 
 
+def test_no_record_is_lost(spark, store, tmp_path):
+    """Broken, id-less, unlisted, repeated and capped records: outcomes add up to what landed, rejects are kept."""
+    lines = [json.dumps(post(i, SPANISH, i)) for i in (1, 2, 3, 3)]
+    lines += ["{oops", '{"id": ', json.dumps({**post(9, SPANISH), "id": None}), json.dumps(post(8, SPANISH, page="q"))]
+    for name, text in (
+        ("fb/a.json", "\n".join(lines)),
+        ("tw/a.json", "\n".join([json.dumps(tweet(5, SPANISH)), json.dumps(tweet(5, SPANISH)), "broken", json.dumps(tweet(6, ENGLISH))])),
+        ("rss/a.xml", feed("", (1, 3, SPANISH))[0]), ("rss/b.xml", "<rss><channel><item>"), ("rss/c.xml", "no feed"),
+    ):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    files = landed(spark)
+    files = C.with_batch(
+        files, facebook_posts=landing.read_facebook_posts(spark, f"{tmp_path}/fb"), tweets=landing.read_tweets(spark, f"{tmp_path}/tw"),
+        entries=landing.read_feeds(spark, f"{tmp_path}/rss"),
+    )
+    for marks in (C.Marks(), C.Marks("1990-01-01", 1, "1990-01-01")):
+        got = counts(C.process_all(store, files, marks=marks, caps=C.Caps(2, 5, 5)))
+        sums = {c: sum(n for (k, _), n in got.items() if k == c) for c in ("facebook", "twitter", "rss")}
+        assert sums == {"facebook": 8, "twitter": 4, "rss": 3}
+        assert got["facebook", "rejected"] == 4 and got["facebook", "duplicate"] == 1
+        assert got["twitter", "rejected"] == 1 and got["twitter", "duplicate"] == 1 and got["rss", "rejected"] == 2
+    kept = store.rejects().collect()
+    assert len(kept) == 14 and {r.rejectReason for r in kept} >= {"unreadable record", "missing id", "unlisted page", "unreadable feed"}
+    assert {"{oops", "broken", "no feed"} <= {r.payload for r in kept}
+
+
+def test_winners_are_fixed(spark, store):
+    """Copies of a post in any order give one result; the own profile counts before another feed."""
+    copies = [{**post(1, SPANISH), "shares": {"count": k}} for k in (3, 1, 2)]
+    seen = set()
+    for order in ([0, 1, 2], [2, 1, 0], [1, 0, 2]):
+        rows = landed(spark, posts=[copies[k] for k in order], profile=[post(1, SPANISH)])
+        got = C.enriched(C.collect(rows).filter("outcome is null").drop("outcome"), rows.terms).collect()
+        assert len(got) == 1 and got[0].type == "profile"
+        alone = C.collect(landed(spark, posts=[copies[k] for k in order])).collect()
+        seen.add((len(alone), alone[0].shares))
+    assert len(seen) == 1
+
+
 def test_caps_apply_to_the_first_pass_only(spark, store):
     many = landed(
         spark,
@@ -113,6 +157,7 @@ def test_caps_apply_to_the_first_pass_only(spark, store):
     # The textless entry is one of the four.
     assert got == {
         ("facebook", "stored"): 2, ("twitter", "stored"): 3, ("rss", "stored"): 4, ("rss", "no text"): 1, ("rss", "over limit"): 2,
+        ("facebook", "over limit"): 4, ("twitter", "over limit"): 3,
     }
     got = counts(C.process_all(store, many, marks=C.Marks("2000-01-01", -1, "2000-01-01"), caps=caps))
     assert got[("facebook", "stored")] == got[("twitter", "stored")] == 6 and ("rss", "over limit") not in got

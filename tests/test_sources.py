@@ -35,7 +35,8 @@ def test_feed_files(spark, tmp_path):
     for name, text in (("a.xml", RSS2), ("b.xml", ATOM), ("c.xml", RDF), ("d.xml", "not a feed")):
         (tmp_path / name).write_text(text, encoding="utf-8")
     rows = landing.read_feeds(spark, str(tmp_path)).orderBy("feed.title", "pos").collect()
-    blog, one, two, old = rows
+    broken, blog, one, two, old = rows  # what is no feed is a row of its own
+    assert broken.link is None and broken._corrupt == "not a feed" and one._corrupt is None
     assert (one.feed.title, one.feed.link, one.pos, one.id, one.author) == ("News", "http://www.news.es/", 0, "n1", "Ana")
     assert one.published == "Mon, 05 Mar 2018 08:07:06 GMT" and one.updated is None
     assert one.summary == "short" and [c.value for c in one.content] == ["<p>long &amp; whole</p>"]

@@ -13,6 +13,7 @@ from tidemark.functions import dates as D
 from tidemark.functions import text as X
 from tidemark.operators import keys as K
 from tidemark.operators.links import quote_links
+from tidemark.sources.landing import CORRUPT
 from tidemark.schema import FACEBOOK, ID_PREFIX, NORMALIZED, REACTIONS, RSS, TWITTER
 
 PROFILE, INTEREST = "profile", "interest"
@@ -57,16 +58,31 @@ def conform(rows: DataFrame, *keep: str) -> DataFrame:
 
 def source_posts(posts: DataFrame, sources: DataFrame) -> DataFrame:
     """Posts of the followed sources with the attributes of their source."""
+    return all_posts(posts, sources).filter("_listed").drop("_listed")
+
+
+def all_posts(posts: DataFrame, sources: DataFrame) -> DataFrame:
+    """All posts, with the attributes of their source where it is followed and ``_listed``, whether it is."""
     named = sources.select(
-        F.col("id").alias("page_id"), F.col("name").alias("sourceName"), F.col("link").alias("sourceUrl")
-    )
-    return K.dimension_join(posts, named, "page_id", "inner")
+        F.col("id").alias("page_id"), F.col("name").alias("sourceName"), F.col("link").alias("sourceUrl"),
+        F.lit(True).alias("_listed"),
+    )
+    joined = K.dimension_join(posts, named, "page_id", "left")
+    return joined.withColumn("_listed", F.coalesce("_listed", F.lit(False)))
+
+
+def payload(rows: DataFrame, reason: Column) -> Column:
+    """What landed of a rejected record: its text if that can't be read, else its fields."""
+    corrupt = F.col(CORRUPT) if CORRUPT in rows.columns else F.lit(None).cast("string")
+    own = [F.col(f"`{c}`") for c in rows.columns if not c.startswith("_")]
+    return F.when(reason.isNotNull(), F.coalesce(corrupt, F.to_json(F.struct(*own))))
 
 
 def facebook_documents(
-    posts: DataFrame, pages: DataFrame, counts: DataFrame | None = None, kind: str = INTEREST
+    posts: DataFrame, pages: DataFrame, counts: DataFrame | None = None, kind: str = INTEREST, landed: bool = False
 ) -> DataFrame:
-    """``posts`` carry ``page_id, sourceName, sourceUrl`` (see :func:`source_posts`).
+    """``posts`` carry ``page_id, sourceName, sourceUrl`` (see :func:`source_posts`). With ``landed``, rejected records
+    keep what landed of them in ``payload``.
 
     ``counts`` has one row per post with a column per reaction kind; without it the kinds stay null.
     """
@@ -78,6 +94,14 @@ def facebook_documents(
     )
     texts = post_texts(quote_links(said, pages), FACEBOOK, "<br>")
     created = D.facebook_date(F.col("created_time"))
+    reason = first_reason(
+        unreadable_record=_corrupt(posts),
+        missing_id=F.col("id").isNull(),
+        unlisted_page=~F.col("_listed") if "_listed" in posts.columns else F.lit(False),
+        missing_permalink=F.col("permalink_url").isNull(),
+        unreadable_date=created.isNull(),
+        missing_reactions=F.col("reactions.summary.total_count").isNull(),
+    )
     docs = texts.select(
         F.concat(F.lit(ID_PREFIX[FACEBOOK]), "id").alias("documentID"),
         F.lit(FACEBOOK).alias("collectorID"),
@@ -98,18 +122,18 @@ def facebook_documents(
         X.hashtags(F.col("text")).alias("hashtagEntities"),
         F.col("reactions.summary.total_count").alias("popularity"),
         F.lit(kind).alias("type"),
-        first_reason(
-            missing_id=F.col("id").isNull(),
-            missing_permalink=F.col("permalink_url").isNull(),
-            unreadable_date=created.isNull(),
-            missing_reactions=F.col("reactions.summary.total_count").isNull(),
-        ).alias("rejectReason"),
+        reason.alias("rejectReason"),
+        payload(posts, reason).alias("payload"),
     )
     if counts is not None:
         docs = docs.join(counts.select("postID", *REACTIONS), "postID", "left").withColumns(
             {r: F.coalesce(F.col(r), F.lit(0)) for r in REACTIONS}
         )
-    return conform(docs)
+    return conform(docs, *["payload"] * landed)
+
+
+def _corrupt(rows: DataFrame) -> Column:
+    return F.col(CORRUPT).isNotNull() if CORRUPT in rows.columns else F.lit(False)
 
 
 def facebook_is_shared(parent_id: Column) -> Column:
@@ -120,7 +144,7 @@ def tweet_type(screen_name: Column, account: str) -> Column:
     return F.when(screen_name == account, F.lit(PROFILE)).otherwise(F.lit(INTEREST))
 
 
-def twitter_documents(tweets: DataFrame, pages: DataFrame, account: str) -> DataFrame:
+def twitter_documents(tweets: DataFrame, pages: DataFrame, account: str, landed: bool = False) -> DataFrame:
     """``account`` is the screen name whose own tweets are its profile."""
     said = tweets.withColumns(
         {
@@ -133,6 +157,13 @@ def twitter_documents(tweets: DataFrame, pages: DataFrame, account: str) -> Data
     texts = post_texts(quote_links(said, pages), TWITTER, " <br>")
     created = D.twitter_date(F.col("created_at"))
     name = F.col("user.screen_name")
+    reason = first_reason(
+        unreadable_record=_corrupt(tweets),
+        missing_id=F.col("id").isNull() | F.col("id_str").isNull(),
+        missing_text=F.col("full_text").isNull(),
+        missing_user=name.isNull(),
+        unreadable_date=created.isNull(),
+    )
     return conform(
         texts.select(
             F.concat(F.lit(ID_PREFIX[TWITTER]), "id_str").alias("documentID"),
@@ -159,13 +190,10 @@ def twitter_documents(tweets: DataFrame, pages: DataFrame, account: str) -> Data
             ).alias("hashtagEntities"),
             F.coalesce("favorite_count", F.lit(0)).alias("popularity"),
             tweet_type(name, account).alias("type"),
-            first_reason(
-                missing_id=F.col("id").isNull() | F.col("id_str").isNull(),
-                missing_text=F.col("full_text").isNull(),
-                missing_user=name.isNull(),
-                unreadable_date=created.isNull(),
-            ).alias("rejectReason"),
-        )
+            reason.alias("rejectReason"),
+            payload(tweets, reason).alias("payload"),
+        ),
+        *["payload"] * landed,
     )
 
 
@@ -177,7 +205,7 @@ def html_links(links: Column) -> Column:
     )
 
 
-def feed_documents(entries: DataFrame, now: Column | None = None) -> DataFrame:
+def feed_documents(entries: DataFrame, now: Column | None = None, landed: bool = False) -> DataFrame:
     """``entries`` as :func:`tidemark.sources.landing.parse_feeds` gives them.
 
     ``now`` dates the entries that carry no readable date. ``_feed`` and ``_pos`` stay in the result, for
@@ -188,6 +216,13 @@ def feed_documents(entries: DataFrame, now: Column | None = None) -> DataFrame:
     texts = clean_texts(entries.withColumn("textRaw", X.remove_scripts(body)), text="textRaw")
     domain = X.url_domain(F.col("feed.link"))
     post_id = F.coalesce("id", "link")
+    reason = first_reason(
+        unreadable_feed=_corrupt(entries),
+        missing_link=F.col("link").isNull(),
+        missing_text=F.col("textRaw").isNull(),
+        feed_without_domain=domain.isNull(),
+        link_without_type=F.coalesce(F.exists("links", lambda l: l["type"].isNull()), F.lit(False)),
+    )
     return conform(
         texts.select(
             F.concat(F.lit(ID_PREFIX[RSS]), post_id).alias("documentID"),
@@ -204,17 +239,14 @@ def feed_documents(entries: DataFrame, now: Column | None = None) -> DataFrame:
             F.coalesce("author", F.lit("")).alias("postUserId"),
             F.coalesce("author", F.lit("")).alias("postUserName"),
             html_links(F.col("links")).alias("links"),
-            first_reason(
-                missing_link=F.col("link").isNull(),
-                missing_text=F.col("textRaw").isNull(),
-                feed_without_domain=domain.isNull(),
-                link_without_type=F.coalesce(F.exists("links", lambda l: l["type"].isNull()), F.lit(False)),
-            ).alias("rejectReason"),
+            reason.alias("rejectReason"),
+            payload(entries, reason).alias("payload"),
             F.col("feed.href").alias("_feed"),
             F.col("pos").alias("_pos"),
         ),
         "_feed",
         "_pos",
+        *["payload"] * landed,
     )
 
 

@@ -18,8 +18,8 @@ def map_documents(
 ) -> DataFrame:
     """Apply ``function`` to batches of documents, in parallel and in no particular order.
 
-    The result has the columns of ``schema`` plus ``error``. A batch in which a document fails is done
-    again document by document, so only the failing ones come back with ``error`` set and nulls elsewhere.
+    The result has the columns of ``schema`` plus ``error``. A batch in which a document fails is halved and done
+    again until the failing ones stand alone; only they come back with ``error`` set and nulls elsewhere.
     """
     names = schema.fieldNames()
     full = T.StructType([*schema.fields, T.StructField("error", T.StringType())])
@@ -30,7 +30,8 @@ def map_documents(
         except Exception as failure:
             if len(batch) == 1:
                 return pd.DataFrame([{**dict.fromkeys(names), "error": f"{type(failure).__name__}: {failure}"}])
-            return pd.concat([attempt(batch.iloc[i : i + 1]) for i in range(len(batch))])
+            half = len(batch) // 2
+            return pd.concat([attempt(batch.iloc[:half]), attempt(batch.iloc[half:])])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -9,19 +9,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import config
 from tidemark.schema import FB_POST, FB_REACTION, FB_SOURCE, FEED_ITEM, FEED_XML, PAGE, TWEET
 
-_MODE = {"mode": "PERMISSIVE"}
+#: The text of a record that can't be read, and when a record landed; both may be missing in a frame.
+CORRUPT, LANDED = "_corrupt", "_landed"
+_MODE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _kept(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    rows = spark.read.schema(_kept(schema)).options(**_MODE).json(path)
+    return rows.withColumn(LANDED, F.col("_metadata.file_modification_time"))
 
 
 def read_facebook_posts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FB_POST).options(**_MODE).json(path)
+    return _read_records(spark, path, FB_POST)
 
 
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TWEET).options(**_MODE).json(path)
+    return _read_records(spark, path, TWEET)
 
 
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +45,7 @@ def read_reactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGE).parquet(path)
+    return spark.read.schema(PAGE).parquet(path).withColumn(LANDED, F.col("_metadata.file_modification_time"))
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
@@ -43,16 +55,20 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_facebook_posts(rows: DataFrame, payload: str, *keep: str) -> DataFrame:
-    return rows.select(*keep, F.from_json(payload, FB_POST, _MODE).alias("_r")).select(*keep, "_r.*")
+    return rows.select(*keep, F.from_json(payload, _kept(FB_POST), _MODE).alias("_r")).select(*keep, "_r.*")
 
 
 def parse_tweets(rows: DataFrame, payload: str, *keep: str) -> DataFrame:
-    return rows.select(*keep, F.from_json(payload, TWEET, _MODE).alias("_r")).select(*keep, "_r.*")
+    return rows.select(*keep, F.from_json(payload, _kept(TWEET), _MODE).alias("_r")).select(*keep, "_r.*")
 
 
 def parse_feeds(rows: DataFrame, payload: str, href: str, *keep: str) -> DataFrame:
     """Entries of feeds held as XML text; ``href`` names the column with the address of the feed."""
-    feeds = rows.select(*keep, F.col(href).alias("_h"), F.from_xml(F.col(payload), FEED_XML, _MODE).alias("_x"))
+    feeds = rows.select(
+        *keep, F.col(href).alias("_h"), F.col(payload).alias("_text"),
+        F.from_xml(F.col(payload), FEED_XML, {"mode": "PERMISSIVE"}).alias("_x"),
+    )
+    read = F.col("_x.entry").isNotNull() | F.col("_x.channel").isNotNull() | F.col("_x.item").isNotNull()
     atom = F.col("_x.entry").isNotNull()
     entries = feeds.select(
         *keep,
@@ -61,17 +77,20 @@ def parse_feeds(rows: DataFrame, payload: str, href: str, *keep: str) -> DataFra
             F.when(atom, _page_of(F.col("_x.link"))).otherwise(F.col("_x.channel.link")).alias("link"),
             F.col("_h").alias("href"),
         ).alias("feed"),
-        F.posexplode(
-            F.when(atom, F.transform("_x.entry", _atom_item)).otherwise(
+        F.when(~read, F.col("_text")).alias(CORRUPT),
+        # A feed that can't be read is one row without an entry.
+        F.posexplode_outer(
+            F.when(~read, F.array(F.lit(None).cast(FEED_ITEM))).when(atom, F.transform("_x.entry", _atom_item)).otherwise(
                 F.transform(F.coalesce("_x.channel.item", "_x.item"), _rss_item)
             )
         ).alias("pos", "_item"),
-    )
+    ).where("pos is not null")  # a feed without entries has nothing to report
     return entries.select(
         *keep,
         "feed",
         F.col("pos").cast("bigint").alias("pos"),
         *[F.col(f"_item.{f.name}").alias(f.name) for f in FEED_ITEM.fields],
+        CORRUPT,
     )
 
 
