@@ -19,6 +19,8 @@ from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.sources.staging import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near duplicates here are texts whose sets of word 5-grams have a Jaccard coefficient of 0.8 or more.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = ngram_join(docs).select(F.col("component_id").alias("kept")).where("kept is not null").distinct()
+    kept = ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select(F.col("component_id").alias("kept")).where("kept is not null").distinct()
     rows = docs.select(*COLUMNS)
     named = rows.join(kept, F.col("doc_id") == F.col("kept"), "left_semi")
     # Partitioned by id already; of equal rows one stays.

@@ -474,3 +474,23 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert kept[2] == kept[1] and texts[4] is not None
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {-1 if r.doc_id is None else r.doc_id for r in rows} == set(kept[2])
+
+
+def test_pipeline_near_duplicates(spark):
+    """Pairs between the limits of op7 (4 words, 85 %) and of the pipeline (5 words, 80 %), against brute force."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    rows = []
+    for i in range(40):
+        base = [rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(100)]
+        rows.append((2 * i, " ".join(base)))
+        for at in rng.sample(range(8, 92, 12), i % 4 + 1):
+            base[at] = f"own{i}x{at}"
+        rows.append((2 * i + 1, " ".join(base)))
+    wide, narrow = linked(rows, 5, 80), linked(rows, 4, 85)
+    want = sorted({least for _, least in wide.values()})
+    assert want != sorted({least for _, least in narrow.values()}) and len(want) < len(rows)
+    frame = spark.createDataFrame([(*r, "en", "a", None) for r in rows], SCHEMA).repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert sorted(r.doc_id for r in got.collect()) == want
