@@ -494,3 +494,61 @@ def test_pipeline_near_duplicates(spark):
     frame = spark.createDataFrame([(*r, "en", "a", None) for r in rows], SCHEMA).repartition(3)
     got = corpus_pipeline.near_duplicates(spark, frame, "")
     assert sorted(r.doc_id for r in got.collect()) == want
+
+
+def shortest_code(labelled: list[tuple], text: str) -> tuple[float, str]:
+    """Bits and language of the shortest PPM code of a text, counted by hand."""
+    pad, seen = b" " * 3, {}
+    for _, known, lang in labelled:
+        raw = pad + known.lower().encode()
+        for i in range(3, len(raw)):
+            for k in range(4):
+                seen.setdefault(lang, {}).setdefault(raw[i - k : i], Counter())[raw[i]] += 1
+
+    def cost(tree: dict, byte: int, context: bytes) -> float:
+        own = tree.get(context, Counter())
+        total, distinct = sum(own.values()), len(own)
+        if own[byte]:
+            return -math.log2(own[byte] / (total + distinct))
+        below = cost(tree, byte, context[1:]) if context else 8.0
+        return below - (math.log2(distinct / (total + distinct)) if total else 0)
+
+    raw = pad + text.lower().encode()
+    return min((sum(cost(tree, raw[i], raw[i - 3 : i]) for i in range(3, len(raw))), lang) for lang, tree in seen.items())
+
+
+def test_pipeline_language(spark):
+    """Junk and a language nobody labelled go, wrong labels are put right, against code lengths counted by hand."""
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    tongues = {"aa": "karo bilu mente soras taluna", "bb": "thwex grunsh plod strimp vend", "cc": "élan çava déjà où pièce"}
+    say = lambda words, n: " ".join(rng.choice(words.split()) for _ in range(n))
+    rows = [(i, say(tongues[lang], rng.randrange(3, 30)), lang) for i, lang in enumerate([*tongues] * 80)]
+    labelled = list(rows)
+    rows += [
+        (900, "xqzv7 kjj!w qqpf-kz xwvvq zzkj pqx " * 3, None), (901, say("hyvää päivää kuinka menee", 20), None),
+        (902, say(tongues["aa"], 20), None), (903, None, None), (904, "12 34 !", None), (905, "Ok", None),
+        (None, say(tongues["bb"], 9), None),
+    ]
+    labelled.append((906, say(tongues["aa"], 25), "bb"))
+    rows.append(labelled[-1])
+    halves = [[r for r in labelled if zlib.crc32(str(r[0]).encode()) % 2 == k] for k in (0, 1)]
+    rates: dict[str, list] = {}
+    for k in (0, 1):
+        for _, text, lang in halves[k]:
+            rates.setdefault(lang, []).append(shortest_code(halves[1 - k], text)[0] / len(text.encode()))
+    most = {lang: 2 * sorted(r)[math.ceil(0.99 * len(r)) - 1] for lang, r in rates.items()}
+    want = []
+    for doc_id, text, _ in rows:
+        if text and any(c.isalpha() for c in text):
+            bits, lang = shortest_code(labelled, text)
+            if bits - most[lang] * len(text.encode()) <= 16:
+                want.append((doc_id if doc_id is not None else -1, lang))
+    frame = spark.createDataFrame([(i, t, lang, "a", None) for i, t, lang in rows], SCHEMA).repartition(3)
+    got = corpus_pipeline.language_id(spark, frame, "").collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.lang) for r in got) == sorted(want)
+    kept = {r.doc_id: r.lang for r in got}
+    assert not {900, 901, 903, 904} & set(kept) and kept[902] == kept[906] == "aa" and kept[None] == "bb"
+    none = corpus_pipeline.language_id(spark, frame.selectExpr("doc_id", "text", "string(null) lang", "source", "n_chars"), "")
+    assert {r.doc_id for r in none.collect()} == {r[0] for r in rows} - {903, 904}

@@ -28,6 +28,7 @@ from tidemark.llm.common import slices, table
 SAMPLE_ROWS = 400
 ORDER = 3
 UNKNOWN = "und"
+USUAL, TOLERANCE = 0.99, 2.0
 _PAD = b" " * ORDER
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -187,6 +188,15 @@ def identify(docs: DataFrame, training: DataFrame, pred: str = "lang_pred", scor
     )
 
 
+def limits(docs: DataFrame) -> DataFrame:
+    """lang and the highest ``bits_per_byte`` of texts in it: ``TOLERANCE`` times what ``USUAL`` of all labelled rows
+    stay below, each priced by trees of the half of ``docs`` (doc_id, text, lang) it isn't in."""
+    labelled = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
+    half = [labelled.where(remainder(2) == k) for k in (0, 1)]
+    priced = identify(half[0], half[1]).unionByName(identify(half[1], half[0])).where("bits_per_byte is not null")
+    return priced.groupBy("lang").agg((TOLERANCE * F.percentile_approx("bits_per_byte", USUAL)).alias("most"))
+
+
 def op1_language_id(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs.select("doc_id", "text"), docs.where(remainder(4) != 2))
