@@ -552,3 +552,21 @@ def test_pipeline_language(spark):
     assert not {900, 901, 903, 904} & set(kept) and kept[902] == kept[906] == "aa" and kept[None] == "bb"
     none = corpus_pipeline.language_id(spark, frame.selectExpr("doc_id", "text", "string(null) lang", "source", "n_chars"), "")
     assert {r.doc_id for r in none.collect()} == {r[0] for r in rows} - {903, 904}
+
+
+def test_packing_knows_the_added_token(spark):
+    """Ids of whole texts as the vocabulary's own library gives them, unchanged."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [
+        "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  y", "plain  text", "one<|endoftext|>two \n<|endoftext|>",
+        "<|endoftext| >", None,
+    ]
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in rows}
+    for i, text in enumerate(texts):
+        ids = [*other.encode(text or "", add_special_tokens=False).ids, packing.END]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert got[0][0] == 5

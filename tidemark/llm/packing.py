@@ -31,6 +31,8 @@ from tidemark.sources.staging import staged
 CAPACITY = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The one added token of the vocabulary, which its own library finds in any text.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 #: Entries the memory of encoded words keeps before it starts anew.
 KEPT_WORDS = 400_000
 
@@ -89,10 +91,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, ending = encoder(vocabulary), array("I", [end]).tobytes()
+        added = array("I", [ADDED_ID]).tobytes()
         for batch in slices(batches):
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = words.ids(text or "") + ending
+                # The vocabulary's added token, found before anything else, is one id wherever it stands in a text.
+                ids = added.join(map(words.ids, (text or "").split(ADDED))) + ending
                 n = len(ids) // 4
                 start, piece = 0, 0
                 while start < n:
