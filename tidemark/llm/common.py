@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+
+def by_value(module: str) -> None:
+    """Functions of ``module`` travel whole to the workers, which then need not have this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+by_value(__name__)
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -38,4 +48,4 @@ def strings(values: list) -> pd.Series:
     return pd.Series(values, dtype=object)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "slices", "strings", "table", "whole_text"]
+__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "by_value", "slices", "strings", "table", "whole_text"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tidemark.llm import collocations
 from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.fingerprints import op3_spotsigs
 from tidemark.llm.html_extraction import op2_html_extraction
@@ -25,6 +26,9 @@ LLM_QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_debruijn_phrases": collocations.op13_debruijn_phrases,
     "pipeline": corpus_pipeline.run,
 }
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op13_debruijn_phrases": collocations.ORACLE_SQL,
+}
