@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import collocations
+from tidemark.llm import collocations, hard_negatives, minhash_dedup
 from tidemark.llm.byte_bpe import op5_byte_bpe
 from tidemark.llm.fingerprints import op3_spotsigs
 from tidemark.llm.html_extraction import op2_html_extraction
@@ -26,9 +26,13 @@ LLM_QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_minhash_tensor": minhash_dedup.op11_minhash_tensor,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_debruijn_phrases": collocations.op13_debruijn_phrases,
     "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLES: dict[str, str] = {
+    "op11_minhash_tensor": minhash_dedup.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
     "op13_debruijn_phrases": collocations.ORACLE_SQL,
 }
