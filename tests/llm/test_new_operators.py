@@ -1,0 +1,258 @@
+"""MinHash classes, hard negatives and phrases against their SQL twins, brute force and odd rows."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.compare import connect, difference, rows
+from tidemark.llm import collocations, hard_negatives, minhash_dedup
+from tidemark.llm.ngram_join import ngram_join
+
+SF_DIR = "/root/testdata/sf0.001"
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, entry long, score long"
+
+
+def documents(spark, texts, langs=None, ids=None):
+    langs, ids = langs or ["en"] * len(texts), ids or range(len(texts))
+    return spark.createDataFrame([(i, t, g, "s", 0, 1, 2) for i, t, g in zip(ids, texts, langs)], DOCUMENT)
+
+
+def same(frame, sql, **tables):
+    """Whether ``frame`` has the rows of ``sql`` over pandas tables."""
+    db = duckdb.connect()
+    for name, table in tables.items():
+        db.register(name, table)
+    got = db.execute(sql)
+    names = [d[0] for d in got.description]
+    assert sorted(names) == sorted(frame.columns)
+    return rows(frame.columns, frame.collect()) == rows(names, got.fetchall())
+
+
+@pytest.mark.parametrize(
+    "query, sql",
+    [
+        (minhash_dedup.op11_minhash_tensor, minhash_dedup.ORACLE_SQL),
+        (hard_negatives.op12_hard_negatives, hard_negatives.ORACLE_SQL),
+        (collocations.op13_debruijn_phrases, collocations.ORACLE_SQL),
+    ],
+)
+def test_queries_match_sql(spark, query, sql):
+    assert difference(query(spark, SF_DIR), connect(SF_DIR), sql) is None
+
+
+# --- minhash -------------------------------------------------------------------------------------------
+
+
+def families(seed, n=40):
+    """Texts in families of copies with a share of their words changed, exact copies and strangers among them."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghij") + str(rng.randrange(400))
+    texts = []
+    for _ in range(n):
+        base = [word() for _ in range(rng.randrange(3, 120))]
+        for _ in range(rng.randrange(1, 6)):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                copy[rng.randrange(len(copy))] = word()
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_minhash_classes_match_brute_force(spark):
+    texts = families(1) + ["Some Words here", "some words HERE", "", None, " \t\n", "x", "x"]
+    docs = documents(spark, texts).cache()
+    got = minhash_dedup.minhash_classes(docs).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    assert same(got, minhash_dedup.ORACLE_SQL, documents=docs.toPandas())
+
+
+def test_minhash_agrees_with_the_exact_join(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    exact = ngram_join(docs, 5, 85).select("doc_id", "n_shingles", "component_id")
+    assert minhash_dedup.minhash_classes(docs).exceptAll(exact).count() == 0
+
+
+def test_table_keys_take_few_minhashes_and_miss_little():
+    """64 tables from 32 minhashes; sets of the least likeness meet in one of them but for one pair in 14,000."""
+    rng = np.random.default_rng(5)
+    missed = 0
+    for _ in range(300):
+        both = rng.integers(0, 2**63, 340, np.uint64)
+        extra = rng.integers(0, 2**63, 60, np.uint64)
+        keys = minhash_dedup.half_keys([np.concatenate([both, extra[:30]]), np.concatenate([both, extra[30:]])])
+        equal = keys[0] == keys[1]
+        missed += not (equal[: minhash_dedup.HALVES].any() and equal[minhash_dedup.HALVES :].any())
+    assert missed <= 1
+    assert keys.shape[1] * minhash_dedup.WIDTH == 32 and minhash_dedup.HALVES**2 == 64
+
+
+def test_minhash_odd_rows(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    docs = documents(spark, [long, long, long + " more", None, ""], ids=[None, None, 7, None, 3])
+    got = sorted(map(tuple, minhash_dedup.minhash_classes(docs).collect()), key=repr)
+    assert got == sorted([(None, 26, 7), (None, 26, 7), (7, 27, 7), (None, 0, None), (3, 0, 3)], key=repr)
+    assert minhash_dedup.minhash_classes(docs.limit(0)).count() == 0
+    twice = documents(spark, [long, long], ids=[4, 4])
+    assert [tuple(r) for r in minhash_dedup.minhash_classes(twice).collect()] == [(4, 26, 4)] * 2
+
+
+def test_chain_of_copies_is_one_class(spark):
+    """Neighbours in a chain link, its ends don't; all are one class."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[:-1 * k] + [f"x{j}" for j in range(k)]) if k else " ".join(words) for k in range(0, 200, 20)]
+    got = minhash_dedup.minhash_classes(documents(spark, texts)).collect()
+    assert {r.component_id for r in got} == {0}
+
+
+# --- hard negatives ------------------------------------------------------------------------------------
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, rank int, score double")
+
+
+def random_vectors(seed, n, dim, labels=10):
+    rng = np.random.default_rng(seed)
+    centers = rng.standard_normal((labels, dim))
+    return [
+        (i, (centers[(y := int(rng.integers(labels)))] * 0.4 + rng.standard_normal(dim)).astype(np.float32).tolist(), y, 0, 0.0)
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("dim, blocks", [(7, 2), (64, 128), (100, 1)])
+def test_hard_negatives_match_sql(spark, dim, blocks, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "BLOCK", blocks)
+    monkeypatch.setattr(hard_negatives, "SHARD_BYTES", 100_000)
+    table = vectors(spark, random_vectors(dim, 600, dim))
+    plain = table.select("vec_id", "embedding", "label")
+    assert same(hard_negatives.hard_negatives(table), hard_negatives.ORACLE_SQL, embeddings=plain.toPandas())
+
+
+def test_odd_vectors_take_no_part(spark):
+    sound = random_vectors(3, 201, 4, 2)
+    odd = [
+        (None, [1.0] * 4, 1, 0, 0.0), (1000, None, 1, 0, 0.0), (1100, [1.0] * 4, None, 0, 0.0),
+        (1200, [1.0, None, 1.0, 1.0], 1, 0, 0.0), (1300, [1.0, math.nan, 1.0, 1.0], 1, 0, 0.0), (1400, [math.inf, 1.0, 1.0, 1.0], 1, 0, 0.0),
+        (1500, [], 1, 0, 0.0), (1600, [9.0] * 5, 1, 0, 0.0),
+    ]
+    with_odd = hard_negatives.hard_negatives(vectors(spark, sound + sound[:5] + odd))
+    want = hard_negatives.hard_negatives(vectors(spark, sound))
+    assert rows(with_odd.columns, with_odd.collect()) == rows(want.columns, want.collect()) != []
+    assert hard_negatives.hard_negatives(vectors(spark, sound).limit(0)).count() == 0
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    table = [(i, [1.0, 0.0], 1, 0, 0.0) for i in (100, 103, 101, 102, 104, 106, 108)]
+    table += [(i, [0.5, 0.5], 2, 0, 0.0) for i in range(220, 240)]
+    got = hard_negatives.hard_negatives(vectors(spark, table)).collect()
+    assert sorted({r.positive_id for r in got}) == [101, 102, 103, 104, 106]
+    # 224, 231 and 238 are of label 3 now, which is no other's.
+    assert [r.negative_id for r in sorted(got, key=lambda r: r["rank"]) if r.positive_id == 101] == list(range(220, 230))
+    assert {(r.positive_score, r.negative_score) for r in got} == {(256 * 256, 256 * 128)}
+
+
+def test_intervals_hold_the_scores():
+    rng = np.random.default_rng(8)
+    for dim in (3, 64, 130):
+        rows_, anchor = np.floor(rng.standard_normal((200, dim)) * 256), np.floor(rng.standard_normal(dim) * 256)
+        codes, scores, wide = hard_negatives.encode(rows_), rows_ @ anchor, []
+        some = hard_negatives.Narrowing(
+            hard_negatives.Anchor(anchor, hard_negatives.rotation(dim) @ anchor), codes, np.arange(200)
+        )
+        for layer in range(hard_negatives.LAYERS):
+            low, high = some.layer(layer)
+            assert (low <= scores).all() and (scores <= high).all()
+            wide.append((high - low).mean())
+        assert wide == sorted(wide, reverse=True) and wide[-1] < wide[0] / 2
+
+
+def test_large_components_are_scored_exactly():
+    huge = np.array([2.0**40 + 1, 3.0])
+    assert hard_negatives.whole_scores(huge[None], np.array([2.0**22 + 1, 5.0])).tolist() == [(2**40 + 1) * (2**22 + 1) + 15]
+    assert hard_negatives.window(-1) == (0, -1) and hard_negatives.window(10) == (3, 9) and hard_negatives.window(0) == (0, 0)
+
+
+# --- phrases -------------------------------------------------------------------------------------------
+
+
+def spoken(seed, n=300):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(25)] + ["Ünder", "CAFÉ", "a\tb", "x y"]
+    passage = "the quick brown fox jumps over the lazy dog near the river bank"
+    texts = []
+    for _ in range(n):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 60))]
+        for at in range(0, len(words), rng.randrange(3, 9)):
+            words[at] += rng.choice([".", ", ", "\n", "", "!?", ";", "\r\n", ":"])
+        texts.append(" ".join(words) + (". " + passage if rng.random() < 0.4 else ""))
+    return texts
+
+
+def phrase_rows(frame):
+    return rows(frame.columns, frame.collect())
+
+
+def test_phrases_match_sql(spark):
+    texts = spoken(2) + [None, "", " , ", "w1 " * 3000]
+    langs = [random.Random(i).choice(["en", "de", None]) for i in range(len(texts))]
+    docs = documents(spark, texts, langs).cache()
+    got = collocations.top_phrases(docs)
+    assert got.count() > 50
+    assert same(got, collocations.ORACLE_SQL, documents=docs.toPandas())
+    assert collocations.top_phrases(docs.limit(0)).count() == 0
+
+
+def test_long_texts_and_small_filter_give_the_same(spark, monkeypatch):
+    docs = documents(spark, spoken(4)).cache()
+    want = phrase_rows(collocations.top_phrases(docs))
+    whole = docs.agg(F.array_join(F.array_sort(F.collect_list("text")), ". ").alias("text")).withColumn("lang", F.lit("en"))
+    for name, value in (("SEGMENT", 500), ("HELD", 100), ("LEAST_BITS", 8), ("MOST_BITS", 8)):
+        monkeypatch.setattr(collocations, name, value)
+    assert phrase_rows(collocations.top_phrases(whole)) == want
+    assert phrase_rows(collocations.top_phrases(docs)) == want
+
+
+def test_a_text_of_megabytes(spark):
+    docs = documents(spark, ["one two three four five. " * 100_000 + "x" * 3_000_000])
+    got = {r.phrase: (r.a, r.l, r.r, r.n, r.score) for r in collocations.top_phrases(docs).collect()}
+    assert got == {
+        "one two three four": (100_000, 100_000, 100_000, 500_001, 1_000_000),
+        "two three four five": (100_000, 100_000, 100_000, 500_001, 1_000_000),
+    }
+
+
+def test_counts_and_paths(spark):
+    """Counts of the graph are those of a plain count; a path holds its edges in order."""
+    texts = spoken(6)
+    g = collocations.graph(documents(spark, texts))
+    plain, total = defaultdict(Counter), 0
+    for text in texts:
+        for piece in __import__("re").split(r"[.,;:!?\x0A-\x0D]", text.translate({c: c + 32 for c in range(65, 91)})):
+            words = [w for w in __import__("re").split(r"[ \t]+", piece) if w]
+            total += len(words)
+            for k in range(1, 5):
+                plain[k].update(" ".join(words[i : i + k]) for i in range(len(words) - k + 1))
+    assert {(r.k, r.phrase): r.f for r in g.counts.collect()} == {(k, p): f for k in plain for p, f in plain[k].items() if f >= 30}
+    assert [r.n for r in g.totals.collect()] == [total]
+    paths = {r.phrase: r.f for r in g.paths.collect()}
+    assert any(p.endswith("quick brown fox jumps over the lazy dog near the river bank") for p in paths)
+    edges = Counter()
+    for phrase, f in paths.items():
+        words = phrase.split(" ")
+        edges.update({" ".join(words[i : i + 4]): f for i in range(len(words) - 3)})
+    assert edges == Counter({p: f for p, f in plain[4].items() if f >= 30})
+
+
+def test_scores_pass_64_bits(spark):
+    big = 5 * 10**15
+    counts = spark.createDataFrame([("en", 2, "a b", big), ("en", 1, "a", big), ("en", 1, "b", 2 * big)], "lang string, k int, phrase string, f long")
+    paths = counts.limit(0).select("lang", "phrase", "f")
+    got = collocations.collocations(collocations.Graph(counts, paths, None)).collect()
+    assert [(r.a, r.l, r.r, r.score) for r in got] == [(big, big, 2 * big, 666_666)]

@@ -8,9 +8,10 @@ of a Jaccard coefficient of 0.85 miss all 64 tables with a probability of 0.0000
 1. *Half keys first.* A half key that one node alone has makes no pair; nodes left without one of either
    collection go before any table key is formed. Most documents have no near copy and go here.
 2. *Tables.* The rest form their keys. Each bucket is a star around its smallest node, however many nodes share it.
-3. *Verify.* Stars are verified on whole sets, after sizes and parity maps have ruled out what can't link. Buckets
-   whose nodes are then in one class are settled; in others the members outside the largest class meet some members of other
-   classes, then more, at last all, so that every pair of a bucket has been verified or is in one class.
+3. *Verify.* Pairs are verified on whole sets, after sizes and parity maps have ruled out what can't link: first each
+   node with the star of its largest bucket, then with the stars of buckets that still hold several classes. Buckets whose nodes are in one
+   class are settled. In others the members outside the largest class meet some members of other classes, then more, at
+   last all, so that every pair of a bucket has been verified or is in one class.
 
 Nulls, ties and other cases: null and empty texts, and texts without a word, have empty sets and no links; a row without
 ``doc_id`` takes part like any other but gives no name to its class, and a class without any id has null and keeps all its
@@ -84,7 +85,8 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def buckets(named: DataFrame) -> DataFrame:
-    """entry, node, n, star: members of the tables' buckets of two nodes or more, and the smallest node of each bucket."""
+    """entry, node, n, star, size: members of the tables' buckets of two nodes or more, and of each bucket the smallest node and
+    the number of nodes."""
     slots = named.select("node", "n", F.posexplode("halves").alias("slot", "half"))
     shared = slots.groupBy("half").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("half")
     first = F.col("slot") < HALVES
@@ -94,8 +96,12 @@ def buckets(named: DataFrame) -> DataFrame:
     )
     keys = alive.select("node", "n", F.explode("left").alias("a"), "right").select("node", "n", "a", F.explode("right").alias("b"))
     keys = staged(keys.select(F.xxhash64("a", "b").alias("entry"), "node", "n"), "keys")
-    stars = keys.groupBy("entry").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("entry", "star")
-    return keys.join(stars, "entry").select("entry", "node", "n", "star")
+    stars = keys.groupBy("entry").agg(F.min("node").alias("star"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
+    return keys.join(stars.where("star < last").drop("last"), "entry").select("entry", "node", "n", "star", "size")
+
+
+def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def minhash_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -108,14 +114,24 @@ def minhash_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         ), "nodes",
     )
     left = staged(buckets(named), "buckets")
-    star = left.where("star < node").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
-    checked = staged(_sized(star, named, percent), "pairs")
+    # First each node meets the star of its largest bucket, then the stars of buckets that still hold several classes.
+    largest = left.groupBy("node").agg(F.max(F.struct("size", "entry", "star"))["star"].alias("star")).where("star < node")
+    checked = staged(_sized(largest.select(F.col("star").alias("a"), F.col("node").alias("b")), named, percent), "pairs")
     links = _verified(checked, named, docs, words, percent)
     labels = _connected(links)
+    placed = staged(_placed(left, labels), "placed")
+    mixed = placed.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
+    left = staged(placed.join(mixed, "entry").select("entry", "node", "n", "star", "label"), "mixed")
+    stars = left.where("star = node").select("entry", F.col("label").alias("own"))
+    star = left.join(stars, "entry").where("label != own").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
+    fresh = staged(_sized(star, named, percent).join(checked, ["a", "b"], "left_anti"), "pairs")
+    if not fresh.isEmpty():
+        found = _verified(fresh, named, docs, words, percent)
+        checked, links = checked.unionByName(fresh), links.unionByName(found)
+        labels = _connected(links)
     for each in (*AT_A_TIME, None):
         # The bound by an entry's place in its set, which the join knows, is the size here.
-        placed = left.join(labels, "node", "left").select("entry", "node", "n", F.col("n").alias("most"), F.coalesce("label", "node").alias("label"))
-        placed = staged(placed, "placed")
+        placed = staged(_placed(left.drop("label"), labels).withColumn("most", F.col("n")), "placed")
         open_buckets, pairs = _cross(placed, each, percent)
         if open_buckets.isEmpty():
             break
