@@ -34,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CAP = 5
 SINCE = "2024-01-01 06:00:00"
 SINCE_ID = 40
+#: Events up to here land first.
+MIDDLE = "2024-01-16 00:00:00"
 
 
 def query(function: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
@@ -122,8 +124,7 @@ def source_post_join(v: Views) -> DataFrame:
 
 @query
 def scan_all_capped(v: Views) -> DataFrame:
-    docs = stored(v)
-    return S.capped(docs, config.SCAN_CAP).select("documentID", "collectorID", "sourceId", plain_time("date").alias("date"))
+    return filled(v).show_all().select("documentID", "collectorID", "sourceId", plain_time("date").alias("date"))
 
 
 # --- projections and filters -----------------------------------------------------------------------
@@ -284,12 +285,11 @@ def stored(v: Views) -> DataFrame:
 
 @query
 def high_water_mark(v: Views) -> DataFrame:
-    return S.high_water_marks(stored(v)).select(
-        "collectorID",
-        plain_time("lastDate").alias("lastDate"),
-        "lastPostID",
-        plain_time("lastCreatedAt").alias("lastCreatedAt"),
-    )
+    """The marks a pass asks the store for."""
+    store = filled(v)
+    found = [(c, *[store.last_value(c, column) for column in ("date", "postIDNum")]) for c in (FACEBOOK, TWITTER, RSS)]
+    rows = v.spark.createDataFrame(found, "collectorID string, lastDate timestamp, lastPostID bigint")
+    return rows.withColumn("lastDate", plain_time("lastDate"))
 
 
 @query
@@ -511,7 +511,11 @@ FROM_START = C.Marks("1990-01-01", -1, "1990-01-01")
 def enrich_documents(v: Views) -> DataFrame:
     """All collectors, linked pages quoted, in the stored language, with every enrichment column."""
     intake = C.collect(full_landing(v), FROM_START).filter("outcome is null").drop("outcome")
-    return C.enriched(staged(intake, "intake"), v.terms).select(
+    return enriched_columns(C.enriched(staged(intake, "intake"), v.terms))
+
+
+def enriched_columns(docs: DataFrame) -> DataFrame:
+    return docs.select(
         "documentID",
         "collectorID",
         "text",
@@ -541,18 +545,29 @@ def two_batches(v: Views) -> tuple[DataFrame, DataFrame]:
 @query
 def upsert_latest(v: Views) -> DataFrame:
     docs, batch = two_batches(v)
-    return S.merge(docs, batch).select("documentID", "collectorID", plain_time("date").alias("date"), "state")
+    store = new_store(v)
+    for rows in (docs, batch):
+        store.upsert(rows.withColumnRenamed("state", "type"), F.col("date"))
+    return store.read().select("documentID", "collectorID", plain_time("date").alias("date"), F.col("type").alias("state"))
 
 
 @query
 def delete_collector(v: Views) -> DataFrame:
-    return S.without_collector(stored(v), TWITTER).groupBy("collectorID").agg(F.count(F.lit(1)).alias("n"))
+    store = filled(v)
+    store.delete_collector(TWITTER)
+    return store.read().select("documentID", "collectorID")
 
 
 def new_store(v: Views) -> S.Store:
     return S.Store(v.spark, f"{shared_dir(v.spark)}/store-{uuid.uuid4().hex}")
 
 
+def filled(v: Views) -> S.Store:
+    store = new_store(v)
+    store.insert(stored(v), F.col("date"))
+    return store
+
+
 @query
 def delete_all(v: Views) -> DataFrame:
     """Fill a store, empty it, fill it again; the second filling alone remains."""
@@ -565,11 +580,7 @@ def delete_all(v: Views) -> DataFrame:
 
 @query
 def sink_insert(v: Views) -> DataFrame:
-    store = new_store(v)
-    store.upsert(stored(v))
-    return store.read().groupBy("collectorID").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("date").isNotNull()).alias("stamped")
-    )
+    return filled(v).read().select("documentID", "collectorID", "sourceId", "text", plain_time("date").alias("date"))
 
 
 @query
@@ -581,6 +592,35 @@ def audit_outcomes(v: Views) -> DataFrame:
     return audit.outcome_counts(judged)
 
 
+#: Insert time of the passes below, after every post.
+LATER = "2030-01-01 00:00:00"
+
+
+@query
+def process_all_twice(v: Views) -> DataFrame:
+    """Two passes over the same landing, the second from the stored marks: outcomes of both, and what is stored then."""
+    store, at = new_store(v), F.lit(LATER).cast("timestamp")
+    caps = C.Caps(CAP, SINCE_ID, CAP)
+    runs = [C.process_all(store, full_landing(v), at=at, caps=caps).withColumn("run", F.lit(run)) for run in ("first", "second")]
+    kept = store.read().groupBy("collectorID").agg(F.count(F.lit(1)).alias("n"))
+    kept = kept.select("collectorID", F.lit("stored").alias("outcome"), "n", F.lit("store").alias("run"))
+    return runs[0].unionByName(runs[1]).unionByName(kept)
+
+
+@query
+def stream_passes(v: Views) -> DataFrame:
+    """Posts, tweets and feeds land as files and are taken as streams, several batches of whole passes."""
+    store, top = new_store(v), f"{shared_dir(v.spark)}/landing-{uuid.uuid4().hex}"
+    # Feeds are one file each, read back whole.
+    landed = {"facebook_posts": v.facebook_json, "tweets": v.tweets_json, "entries": v.feeds_xml.select("payload")}
+    for kind, rows in landed.items():
+        rows.repartition(2).write.option("maxRecordsPerFile", kind == "entries" and 1 or 0).text(f"{top}/{kind}")
+    files = ingest.landed_files(v.spark, {kind: f"{top}/{kind}" for kind in landed}, files=4, names="part-*")
+    tables = C.Landing(v.pages, v.terms, sources=v.sources, reactions=v.reactions, account=ACCOUNT)
+    ingest.start_passes(files, tables, store, f"{top}/checkpoint", ingest.ONCE).awaitTermination()
+    return enriched_columns(store.read())
+
+
 # --- streams and hooks -----------------------------------------------------------------------------
 
 
@@ -603,15 +643,17 @@ def stream_ingest(v: Views) -> DataFrame:
 
 @query
 def stream_dedup(v: Views) -> DataFrame:
-    """First event of every user and type within a month."""
-    out = f"{shared_dir(v.spark)}/dedup-{uuid.uuid4().hex}"
-    stream = ingest.landed_stream(v.spark, v.dir, v.table("events").schema, "parquet", names="events.parquet")
-    seen = ingest.first_sight(stream, ["user_id", "event_type"], "ts", "40 days")
+    """First events of every user and type, again after ten days; errors land last, those behind the watermark are told."""
+    top, events = f"{shared_dir(v.spark)}/dedup-{uuid.uuid4().hex}", v.table("events").select("user_id", "event_type", "ts")
+    for rows in ("event_type <> 'error' and ts < {}", "event_type <> 'error' and ts >= {}", "event_type = 'error'"):
+        events.filter(rows.format(f"timestamp_ntz'{MIDDLE}'")).coalesce(1).write.mode("append").parquet(f"{top}/in")
+    stream = ingest.landed_stream(v.spark, f"{top}/in", events.schema, "parquet", 1, "part-*")
+    seen = ingest.first_sight(stream, ["user_id", "event_type"], "ts", "10 days")
     (
-        seen.select("user_id", "event_type").writeStream.format("parquet").option("path", f"{out}/data")
-        .option("checkpointLocation", f"{out}/checkpoint").trigger(**ingest.ONCE).start().awaitTermination()
+        seen.writeStream.format("parquet").option("path", f"{top}/data")
+        .option("checkpointLocation", f"{top}/checkpoint").trigger(**ingest.ONCE).start().awaitTermination()
     )
-    return v.spark.read.parquet(f"{out}/data")
+    return v.spark.read.parquet(f"{top}/data").withColumn("ts", plain_time("ts"))
 
 
 @query

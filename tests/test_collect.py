@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -128,7 +129,8 @@ def test_no_record_is_lost(spark, store, tmp_path):
         assert got["facebook", "rejected"] == 4 and got["facebook", "duplicate"] == 1
         assert got["twitter", "rejected"] == 1 and got["twitter", "duplicate"] == 1 and got["rss", "rejected"] == 2
     kept = store.rejects().collect()
-    assert len(kept) == 14 and {r.rejectReason for r in kept} >= {"unreadable record", "missing id", "unlisted page", "unreadable feed"}
+    # Both passes met the same seven.
+    assert len(kept) == 7 and {r.rejectReason for r in kept} >= {"unreadable record", "missing id", "unlisted page", "unreadable feed"}
     assert {"{oops", "broken", "no feed"} <= {r.payload for r in kept}
 
 
@@ -145,6 +147,37 @@ def test_winners_are_fixed(spark, store):
     assert len(seen) == 1
 
 
+def test_a_collector_that_fails_leaves_the_others_stored(spark, store, tmp_path):
+    files = landed(spark, posts=[post(1, SPANISH)], feeds=[feed("f", (1, 3, SPANISH))])
+    files = C.with_batch(files, tweets=lambda: landing.read_tweets(spark, f"{tmp_path}/nowhere"))
+    got = counts(C.process_all(store, files))
+    assert got == {("facebook", "stored"): 1, ("rss", "stored"): 1, ("twitter", "collector failed"): 1}
+    assert {r.documentID for r in store.read().collect()} == {"FB_1", "RSS_http://r.es/1"}
+    told = store.rejects().collect()
+    assert [r.collectorID for r in told] == ["twitter"] and "nowhere" in told[0].rejectReason
+    with pytest.raises(Exception, match="nowhere"):
+        C.process_all(store, files, strict=True)
+
+
+def test_what_landed_is_read_once(spark, store, tmp_path):
+    """Documents and counts come from one read of the posts, caps and marks included."""
+    reads = spark.sparkContext.accumulator(0)
+    (tmp_path / "tw").mkdir()
+    rows = [tweet(i, SPANISH) for i in (1, 2, 3, 3, 4, 5)]
+    (tmp_path / "tw/a.json").write_text("\n".join(json.dumps(r) for r in rows))
+
+    def watched(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    tweets = landing.read_tweets(spark, f"{tmp_path}/tw")
+    files = C.with_batch(landed(spark), tweets=tweets.mapInArrow(watched, tweets.schema))
+    got = counts(C.process_all(store, files, marks=C.Marks(), caps=C.Caps(1, 2, 1), from_fb=False, from_rss=False))
+    assert got == {("twitter", "stored"): 2, ("twitter", "over limit"): 3, ("twitter", "duplicate"): 1}
+    assert reads.value == 6
+
+
 def test_caps_apply_to_the_first_pass_only(spark, store):
     many = landed(
         spark,
@@ -222,16 +255,80 @@ def test_a_failed_batch_is_done_again(spark, store, tmp_path):
     assert [r.documentID for r in store.read().collect()] == ["TW_1"]
 
 
+def write_lines(path, *records):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records))
+    # Files are taken in the order they landed in.
+    os.utime(path, (1.7e9 + len(os.listdir(path.parent)),) * 2)
+
+
+def test_passes_over_streams_equal_one_pass(spark, store, tmp_path):
+    """Posts, tweets and feeds as three streams of several files; a batch that comes again changes nothing."""
+    kinds = ("facebook_posts", "facebook_profile", "tweets", "entries")
+    folders = {kind: str(tmp_path / kind) for kind in kinds}
+    write_lines(tmp_path / "facebook_posts/0.json", post(1, SPANISH), post(2, ENGLISH), "{oops")
+    write_lines(tmp_path / "facebook_posts/1.json", post(1, SPANISH + " blanco"), post(3, SPANISH), "")
+    write_lines(tmp_path / "facebook_profile/0.json", post(4, SPANISH))
+    write_lines(tmp_path / "tweets/0.json", tweet(1, SPANISH), tweet(2, ""))
+    write_lines(tmp_path / "entries/0.xml", feed("", (1, 3, SPANISH))[0])
+    write_lines(tmp_path / "entries/1.xml", feed("", (2, 3, SPANISH))[0])
+    write_lines(tmp_path / "entries/2.xml", "no feed")
+    tables = C.with_batch(landed(spark), facebook_posts=None, facebook_profile=None, tweets=None, entries=None)
+
+    def run(checkpoint):
+        stream = ingest.landed_files(spark, folders, files=1)
+        return ingest.start_passes(stream, tables, store, str(tmp_path / checkpoint), ingest.ONCE)
+
+    assert ingest.keep_running(lambda: run("c"), restarts=0) == 0
+    content = lambda: {r.documentID: r.asDict(True) for r in store.read().collect()}
+    got = content()
+    assert {k: v["text"] for k, v in got.items()} == {
+        "FB_1": SPANISH + " blanco .", "FB_3": SPANISH + " .", "FB_4": SPANISH + " .", "TW_1": SPANISH + " .",
+        "RSS_http://r.es/1": SPANISH, "RSS_http://r.es/2": SPANISH,
+    }
+    assert got["FB_4"]["type"] == "profile" and got["FB_1"]["categories"] == ["pets"]
+    rejects = sorted(r.payload for r in store.rejects().collect())
+    assert rejects == ["no feed", "{oops"]
+    # The checkpoint is lost: all batches come again.
+    run("other").awaitTermination()
+    assert content() == got and store.rejects().count() == 2
+    with pytest.raises(ValueError):
+        ingest.landed_files(spark, {"posts": "x"})
+
+
+def test_restarts_wait_longer_each_time(monkeypatch):
+    waited = []
+    monkeypatch.setattr(ingest.clock, "sleep", waited.append)
+
+    class Query:
+        def awaitTermination(self):
+            raise ingest.StreamingQueryException("lost")
+
+    with pytest.raises(ingest.StreamingQueryException):
+        ingest.keep_running(Query, restarts=4, pause=2, longest=10)
+    assert waited == [2, 4, 8, 10]
+
+
 def test_first_sight_across_batches(spark, tmp_path):
     folder, out = tmp_path / "in", tmp_path / "out"
     folder.mkdir()
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("at", T.TimestampNTZType())])
-    for i, ids in enumerate((["a", "b", "a"], ["b", "c"])):
-        (folder / f"{i}.json").write_text("\n".join(json.dumps({"id": x, "at": f"2024-01-01T0{i}:00:00"}) for x in ids))
-    stream = ingest.first_sight(ingest.landed_stream(spark, str(folder), schema, files=1), ["id"], "at")
+    batches = [
+        [("a", "01T00"), ("b", "01T00"), ("a", "01T05")],
+        [("b", "01T23"), ("c", "03T00"), ("a", "02T00")],
+        # The watermark is at noon of the second day less twelve hours now.
+        [("d", "01T10"), ("a", "01T11"), ("e", "02T23"), ("a", "03T00")],
+    ]
+    for i, rows in enumerate(batches):
+        (folder / f"{i}.json").write_text("\n".join(json.dumps({"id": x, "at": f"2024-01-{at}:00:00"}) for x, at in rows))
+    stream = ingest.first_sight(ingest.landed_stream(spark, str(folder), schema, files=1), ["id"], "at", "1 day")
     query = stream.writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(tmp_path / "c")).trigger(**ingest.ONCE).start()
     query.awaitTermination()
-    assert sorted(r.id for r in spark.read.parquet(str(out)).collect()) == ["a", "b", "c"]
+    got = sorted((r.id, r.at.strftime("%dT%H"), r.status) for r in spark.read.parquet(str(out)).collect())
+    assert got == [
+        ("a", "01T00", "first"), ("a", "01T11", "late"), ("a", "02T00", "first"), ("a", "03T00", "first"), ("b", "01T00", "first"),
+        ("c", "03T00", "first"), ("d", "01T10", "late"), ("e", "02T23", "first"),
+    ]
     assert ingest.every() == {"processingTime": "60 minutes"}
 
 

@@ -205,11 +205,13 @@ def html_links(links: Column) -> Column:
     )
 
 
-def feed_documents(entries: DataFrame, now: Column | None = None, landed: bool = False) -> DataFrame:
+def feed_documents(
+    entries: DataFrame, now: Column | None = None, landed: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """``entries`` as :func:`tidemark.sources.landing.parse_feeds` gives them.
 
     ``now`` dates the entries that carry no readable date. ``_feed`` and ``_pos`` stay in the result, for
-    caps and date stops.
+    caps and date stops, and so do the columns of ``keep``.
     """
     now = F.current_timestamp() if now is None else now
     body = F.when(F.size("content") > 0, F.get("content", F.lit(0))["value"]).otherwise(F.col("summary"))
@@ -243,10 +245,12 @@ def feed_documents(entries: DataFrame, now: Column | None = None, landed: bool =
             payload(entries, reason).alias("payload"),
             F.col("feed.href").alias("_feed"),
             F.col("pos").alias("_pos"),
+            *keep,
         ),
         "_feed",
         "_pos",
         *["payload"] * landed,
+        *keep,
     )
 
 
