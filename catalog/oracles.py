@@ -343,12 +343,12 @@ fb_in AS (SELECT post_id FROM posts
 tw_in AS (SELECT post_id FROM posts ORDER BY post_id DESC LIMIT {SINCE_ID}),
 seen AS (
   SELECT row_number() OVER () AS id, * FROM (
-    SELECT 'facebook' AS collector, text_out AS text,
+    SELECT post_id, 'facebook' AS collector, text_out AS text,
       CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN text_out = '' THEN 'no text' END AS outcome
     FROM fb_docs WHERE post_id IN (SELECT post_id FROM fb_in)
-    UNION ALL SELECT 'twitter', text_out, CASE WHEN reason IS NOT NULL THEN 'rejected' END
+    UNION ALL SELECT post_id, 'twitter', text_out, CASE WHEN reason IS NOT NULL THEN 'rejected' END
     FROM tw_docs WHERE post_id IN (SELECT post_id FROM tw_in)
-    UNION ALL SELECT 'rss', text_out, CASE WHEN pos >= {CAP} THEN 'over limit' WHEN reason IS NOT NULL THEN 'rejected'
+    UNION ALL SELECT NULL, 'rss', text_out, CASE WHEN pos >= {CAP} THEN 'over limit' WHEN reason IS NOT NULL THEN 'rejected'
       WHEN text_out = '' THEN 'no text' END
     FROM rss_docs)
 )"""
@@ -370,17 +370,17 @@ oracle(
     UNION ALL SELECT 'second', 'facebook', 'before mark', count(*) FROM posts
     UNION ALL SELECT 'second', 'twitter', 'before mark', count(*) FROM posts, mark WHERE post_id <= last
     UNION ALL SELECT 'second', 'twitter', told, count(*) FROM judged, mark
-      WHERE collector = 'twitter' AND CAST(substr(id, 4) AS BIGINT) > last GROUP BY told
+      WHERE collector = 'twitter' AND post_id > last GROUP BY told
     UNION ALL SELECT 'second', 'rss', 'before date', count(*) FROM posts
     UNION ALL SELECT 'store', * FROM outcomes WHERE outcome = 'stored'""",
     *_ALL_DOCS[:-1],
     _CAPPED,
     V.languages("seen", "id", "text"),
-    """judged AS (SELECT id, collector, coalesce(outcome, CASE WHEN language = 'Spanish' THEN 'stored' ELSE 'other language' END) AS told
+    """judged AS (SELECT post_id, collector, coalesce(outcome, CASE WHEN language = 'Spanish' THEN 'stored' ELSE 'other language' END) AS told
     FROM seen JOIN languages USING (id))""",
     """outcomes AS (SELECT collector AS "collectorID", told AS outcome, count(*) AS n FROM judged GROUP BY ALL)""",
     # Tweets behind the last stored one are read again, whatever became of them.
-    """mark AS (SELECT max(CAST(substr(id, 4) AS BIGINT)) AS last FROM judged WHERE collector = 'twitter' AND told = 'stored')""",
+    """mark AS (SELECT max(post_id) AS last FROM judged WHERE collector = 'twitter' AND told = 'stored')""",
 )
 
 ORACLES["stream_passes"] = ORACLES["enrich_documents"]
