@@ -200,7 +200,7 @@ def phrase_rows(frame):
 
 
 def test_phrases_match_sql(spark):
-    texts = spoken(2) + [None, "", " , ", "w1 " * 3000]
+    texts = spoken(2, 3000) + [None, "", " , ", "w1 " * 3000]
     langs = [random.Random(i).choice(["en", "de", None]) for i in range(len(texts))]
     docs = documents(spark, texts, langs).cache()
     got = collocations.top_phrases(docs)
