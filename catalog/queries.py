@@ -479,7 +479,7 @@ def category_match(v: Views) -> DataFrame:
 
 @query
 def summary_extract(v: Views) -> DataFrame:
-    return enrich.with_summary(texts(v), "doc_id").select("doc_id", "summary")
+    return enrich.with_summary(texts(v)).select("doc_id", "summary")
 
 
 @query
