@@ -268,6 +268,7 @@ def test_bpe_round_trip(docs):
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks(byte_bpe.VOCABULARY), special_tokens={}
     )
     rows = byte_bpe.decode(byte_bpe.encode(clashing(docs))).collect()
+    assert sorted(byte_bpe.round_trip(clashing(docs)).collect(), key=str) == sorted(rows, key=str)
     texts = {}
     for doc_id, text, *_ in corpus():
         texts[doc_id] = text or ""
@@ -280,6 +281,12 @@ def test_bpe_round_trip(docs):
     odd = ["".join(rng.choice("ab  \n.é1'st漢") for _ in range(rng.randrange(50))) for _ in range(300)] + ["é" * 400, "ab" * 300]
     for text, ids in zip(odd, encoder.encode(odd)):
         assert np.frombuffer(ids, "<u4").tolist() == own.encode_ordinary(text)
+    # A document of more tokens than a piece, and with runs of spaces; memory of words ends in between.
+    long = " ".join(rng.choice(["alpha", "  beta", "\tγάμμα", "\n delta"]) + str(k % 977) for k in range(250_000))
+    encoder.kept = byte_bpe.KEPT_BYTES + 1
+    ids = encoder.encode([long, "", None, long[:50]])
+    assert np.frombuffer(ids[0], "<u4").tolist() == own.encode_ordinary(long) and len(ids[0]) > 4 * byte_bpe.PIECE_TOKENS
+    assert byte_bpe.Decoder(encoder.rank, encoder.db).decode(ids) == [long.encode(), b"", b"", long[:50].encode()]
 
 
 # --- HTML ------------------------------------------------------------------------------------------

@@ -2,8 +2,9 @@
 
 Encoding: the matches of the vocabulary's pattern become rows (word, position, token), one per byte at first. A
 recursive query joins neighbouring tokens to the merge table and contracts each word's leftmost pair of least rank until
-no pair is left. Words are encoded once per task while memory of them lasts (``KEPT_WORDS``). Decoding: the ids of
-whole documents are joined to the vocabulary and put together by an ordered aggregation.
+no pair is left. Words are encoded once per task while memory of them lasts (``KEPT_BYTES``). Decoding: ids are joined
+to the vocabulary and put together by an ordered aggregation, pieces of ``PIECE_TOKENS`` of a long document each by
+itself. ``encode`` and ``decode`` are jobs of their own; ``round_trip`` does both in one worker with one database.
 
 A recursion costs a round per merge, so matches of more than ``LONG_BYTES`` (no usual word has as many) are contracted
 in the same order with a heap instead.
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
+from collections import ChainMap
 from collections.abc import Iterator
 
 import duckdb
@@ -30,11 +33,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-KEPT_WORDS = 300_000
 LONG_BYTES = 256
+#: Memory of words that were encoded, all told, and the longest part of a text that is remembered.
+KEPT_BYTES = 48 << 20
+KEPT_CHARS = 64
+#: What an entry of that memory takes beside its characters and ids.
+_ENTRY_BYTES = 220
 #: Bytes of words, and tokens of documents, that one query takes.
-BLOCK_BYTES = 600_000
-BLOCK_TOKENS = 1_000_000
+BLOCK_BYTES = 200_000
+PIECE_TOKENS = 200_000
+DATABASE_MB = 160
+
+#: The last space of a run before something else than space.
+_LAST_SPACE = re.compile(r" (?=\S)")
 
 ENCODE = """
 WITH RECURSIVE t(w, pos, tok, step) AS (
@@ -54,7 +65,7 @@ WITH RECURSIVE t(w, pos, tok, step) AS (
 SELECT t.w, t.tok FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) ORDER BY t.w, t.pos
 """
 DECODE = """
-SELECT doc, string_agg(hex, '' ORDER BY pos) AS hex FROM tokens JOIN vocabulary USING (id) GROUP BY doc
+SELECT piece, string_agg(hex, '' ORDER BY pos) AS hex FROM tokens JOIN vocabulary USING (id) GROUP BY piece
 """
 
 
@@ -66,7 +77,13 @@ def ranks(vocabulary: str) -> dict[bytes, int]:
 
 
 def _database() -> duckdb.DuckDBPyConnection:
-    return duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
+    # Blocks are sized for memory; nothing spills to a folder of the machine.
+    limits = {"threads": 1, "memory_limit": f"{DATABASE_MB}MB", "temp_directory": "", "preserve_insertion_order": False}
+    return duckdb.connect(config=limits)
+
+
+def _ids32(values) -> pa.Array:
+    return pa.array(values, pa.int32())
 
 
 class Encoder:
@@ -75,17 +92,18 @@ class Encoder:
 
         self.findall = regex.compile(PATTERN).findall
         self.rank = ranks(vocabulary)
-        rows = [
-            (a, b, number)
-            for token, number in self.rank.items()
-            for k in range(1, len(token))
-            if (a := self.rank.get(token[:k])) is not None and (b := self.rank.get(token[k:])) is not None
-        ]
+        left, right, both = [], [], []
+        for token, number in self.rank.items():
+            for k in range(1, len(token)):
+                a, b = self.rank.get(token[:k]), self.rank.get(token[k:])
+                if a is not None and b is not None:
+                    left.append(a), right.append(b), both.append(number)
         self.db = _database()
-        merges = pa.table({c: pa.array(v, pa.int32()) for c, v in zip(("left_id", "right_id", "id"), zip(*rows))})
+        merges = pa.table({"left_id": _ids32(left), "right_id": _ids32(right), "id": _ids32(both)})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.words: dict[str, bytes] = {}
+        self.kept = 0
 
     def _query(self, words: list[bytes]) -> list[bytes]:
         raw = np.frombuffer(b"".join(words), np.uint8)
@@ -131,47 +149,105 @@ class Encoder:
                 offer(before[left])
         return np.array([self.rank[t] for t in tokens if t is not None], "<u4").tobytes()
 
-    def learn(self, matches: set[str]) -> None:
-        block: list[tuple[str, bytes]] = []
+    def learn(self, matches: set[str]) -> dict[str, bytes]:
+        """Ids of every one of ``matches``."""
+        found: dict[str, bytes] = {}
+        block: list[str] = []
+        raws: list[bytes] = []
         size = 0
         for match in matches:
             raw = match.encode()
             if len(raw) > LONG_BYTES:
-                self.words[match] = self._long(raw)
+                found[match] = self._long(raw)
                 continue
-            block.append((match, raw))
+            block.append(match), raws.append(raw)
             size += len(raw)
             if size >= BLOCK_BYTES:
-                self.words.update(zip([m for m, _ in block], self._query([r for _, r in block])))
-                block, size = [], 0
+                found.update(zip(block, self._query(raws)))
+                block, raws, size = [], [], 0
         if block:
-            self.words.update(zip([m for m, _ in block], self._query([r for _, r in block])))
+            found.update(zip(block, self._query(raws)))
+        return found
+
+    def _keep(self, found: dict[str, bytes]) -> None:
+        for part, ids in found.items():
+            if len(part) <= KEPT_CHARS and part not in self.words:
+                self.words[part] = ids
+                self.kept += len(part) + len(ids) + _ENTRY_BYTES
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        if len(self.words) > KEPT_WORDS:
+        if self.kept > KEPT_BYTES:
             self.words.clear()
+            self.kept = 0
         split = [self._units(t) if t else [] for t in texts]
         parts: dict[str, list[str]] = {}
         unknown: set[str] = set()
         for unit in {u for units in split for u in units} - self.words.keys():
             parts[unit] = matches = self.findall(unit)
             unknown.update(m for m in matches if m not in self.words)
-        self.learn(unknown)
+        found = self.learn(unknown)
+        known = ChainMap(found, self.words)
         for unit, matches in parts.items():
             if len(matches) != 1:
-                self.words[unit] = b"".join([self.words[m] for m in matches])
-        return [b"".join([self.words[u] for u in units]) for units in split]
+                found[unit] = b"".join([known[m] for m in matches])
+        self._keep(found)
+        # Long parts are not kept: those of this call lie in ``found``.
+        return [b"".join([found[u] if u in found else self.words[u] for u in units]) for units in split]
 
     @staticmethod
     def _units(text: str) -> list[str]:
-        """Parts of a text that are encoded alone: words with the space before them."""
+        """Parts of a text that are encoded alone: a match begins at each space before something else than space."""
         first, *words = text.split(" ")
         if any(not w or w[0].isspace() for w in words):
-            return [text]
+            first, *words = _LAST_SPACE.split(text)
         return [first, *[" " + w for w in words]] if first else [" " + w for w in words]
 
 
+class Decoder:
+    def __init__(self, rank: dict[bytes, int], db: duckdb.DuckDBPyConnection):
+        self.db = db
+        known = pa.table({"id": _ids32(rank.values()), "hex": [t.hex() for t in rank]})  # noqa: F841  read by the query
+        db.execute("CREATE TABLE vocabulary AS SELECT * FROM known")
+
+    def _query(self, pieces: list[np.ndarray]) -> list[bytes]:
+        size = np.array([len(p) for p in pieces])
+        tokens = pa.table(  # noqa: F841  read by the query
+            {
+                "piece": np.repeat(np.arange(len(pieces), dtype=np.int32), size),
+                "pos": (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32),
+                "id": np.concatenate(pieces).astype(np.int32),
+            }
+        )
+        out = [b""] * len(pieces)
+        for piece, text in self.db.execute(DECODE).fetchall():
+            out[piece] = bytes.fromhex(text)
+        return out
+
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes that the ids of each document stand for."""
+        out: list[list[bytes]] = [[] for _ in ids]
+        owners: list[int] = []
+        pieces: list[np.ndarray] = []
+        held = 0
+
+        def flush() -> None:
+            for owner, raw in zip(owners, self._query(pieces)):
+                out[owner].append(raw)
+
+        for doc, packed in enumerate(ids):
+            tokens = np.frombuffer(packed, "<u4")
+            for begin in range(0, len(tokens), PIECE_TOKENS):
+                owners.append(doc), pieces.append(tokens[begin : begin + PIECE_TOKENS])
+                held += len(pieces[-1])
+                if held >= PIECE_TOKENS:
+                    flush()
+                    owners, pieces, held = [], [], 0
+        if pieces:
+            flush()
+        return [b"".join(parts) for parts in out]
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens and ``ids`` (little-endian unsigned 32-bit) of every document."""
 
@@ -193,36 +269,40 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, ids) with the bytes the ids stand for in ``decoded``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        db = None
+        decoder = None
         for batch in batches:
-            if db is None:
-                db, rank = _database(), ranks(vocabulary)
-                known = pa.table(  # noqa: F841  read by the query
-                    {"id": pa.array(rank.values(), pa.int32()), "hex": [t.hex() for t in rank]}
-                )
-                db.execute("CREATE TABLE vocabulary AS SELECT * FROM known")
-            out = [b""] * len(batch)
-            sizes = batch["ids"].str.len().to_numpy() // 4
-            for rows in np.split(
-                np.arange(len(batch)), np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_TOKENS)) + 1
-            ):
-                n = sizes[rows]
-                tokens = pa.table(  # noqa: F841  read by the query
-                    {
-                        "doc": np.repeat(rows.astype(np.int32), n),
-                        "pos": (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32),
-                        "id": np.frombuffer(b"".join(batch["ids"].iloc[rows]), "<u4").astype(np.int32),
-                    }
-                )
-                for doc, text in db.execute(DECODE).fetchall():
-                    out[doc] = bytes.fromhex(text)
-            yield batch.assign(doc_id=batch["doc_id"].astype("Int64"), decoded=out)
+            decoder = decoder or Decoder(ranks(vocabulary), _database())
+            yield batch.assign(doc_id=batch["doc_id"].astype("Int64"), decoded=decoder.decode(batch["ids"].tolist()))
 
     return encoded.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """What ``decode(encode(docs))`` gives, by one Python worker a task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = None
+        for batch in slices(batches, 2 << 20):
+            if encoder is None:
+                encoder = Encoder(vocabulary)
+                decoder = Decoder(encoder.rank, encoder.db)
+            ids = encoder.encode(batch["text"].tolist())
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "n_tokens": [len(i) // 4 for i in ids],
+                    "ids": ids,
+                    "decoded": decoder.decode(ids),
+                }
+            )
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(
+        run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary"
+    )
+
+
 def op5_byte_bpe(spark, sf_dir) -> DataFrame:
-    both = decode(encode(table(spark, sf_dir, "documents")))
+    both = round_trip(table(spark, sf_dir, "documents"))
     return both.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
