@@ -2,7 +2,7 @@
 
 Encoding: the matches of the vocabulary's pattern become rows (word, position, token), one per byte at first. A
 recursive query joins neighbouring tokens to the merge table and contracts each word's leftmost pair of least rank until
-no pair is left. Words are encoded once per task while memory of them lasts (``KEPT_BYTES``). Decoding: ids are joined
+no pair is left. Words are encoded once per worker while memory of them lasts (``KEPT_BYTES``). Decoding: ids are joined
 to the vocabulary and put together by an ordered aggregation, pieces of ``PIECE_TOKENS`` of a long document each by
 itself. ``encode`` and ``decode`` are jobs of their own; ``round_trip`` does both in one worker with one database.
 
@@ -17,6 +17,7 @@ input are not read. Very long texts are cut at spaces, where the pattern always
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 import re
 from collections import ChainMap
@@ -35,7 +36,7 @@ from tidemark.llm.common import slices, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_BYTES = 256
 #: Memory of words that were encoded, all told, and the longest part of a text that is remembered.
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 96 << 20
 KEPT_CHARS = 64
 #: What an entry of that memory takes beside its characters and ids.
 _ENTRY_BYTES = 220
@@ -277,15 +278,19 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoded.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
 
 
+@functools.lru_cache(maxsize=1)
+def _both(vocabulary: str) -> tuple[Encoder, Decoder]:
+    """One of each for all tasks of a worker, so that words learned in one are known in the next."""
+    encoder = Encoder(vocabulary)
+    return encoder, Decoder(encoder.rank, encoder.db)
+
+
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """What ``decode(encode(docs))`` gives, by one Python worker a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = None
         for batch in slices(batches, 2 << 20):
-            if encoder is None:
-                encoder = Encoder(vocabulary)
-                decoder = Decoder(encoder.rank, encoder.db)
+            encoder, decoder = _both(vocabulary)
             ids = encoder.encode(batch["text"].tolist())
             yield pd.DataFrame(
                 {
