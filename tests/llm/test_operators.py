@@ -257,6 +257,18 @@ def test_code_lengths_are_ppm():
         assert got[i, lang] == pytest.approx(cost(text, raw[i + 3], raw[i : i + 3], 3), rel=1e-5)
 
 
+def test_long_texts_are_priced_in_pieces():
+    long = "漢é and so on " * (language_id.CHUNK // 10)
+    texts = ["ab", long, "", "é" * 5]
+    pieces: dict[int, list] = {}
+    for rows, code, at in language_id._blocks(texts):
+        for row, part in zip(rows, np.split(code, at[1:])):
+            pieces.setdefault(int(row), []).append(part)
+    assert len(pieces[1]) > 2 and 2 not in pieces
+    for row in (0, 1, 3):
+        assert np.array_equal(np.concatenate(pieces[row]), language_id._grams([texts[row]])[0])
+
+
 # --- BPE -------------------------------------------------------------------------------------------
 
 

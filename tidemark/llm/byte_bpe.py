@@ -20,8 +20,8 @@ import base64
 import functools
 import heapq
 import re
-from collections import ChainMap
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -47,6 +47,7 @@ DATABASE_MB = 160
 
 #: The last space of a run before something else than space.
 _LAST_SPACE = re.compile(r" (?=\S)")
+_SPACES = re.compile(r" (?:\s|\Z)")
 
 ENCODE = """
 WITH RECURSIVE t(w, pos, tok, step) AS (
@@ -170,38 +171,32 @@ class Encoder:
             found.update(zip(block, self._query(raws)))
         return found
 
-    def _keep(self, found: dict[str, bytes]) -> None:
-        for part, ids in found.items():
-            if len(part) <= KEPT_CHARS and part not in self.words:
-                self.words[part] = ids
-                self.kept += len(part) + len(ids) + _ENTRY_BYTES
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
         if self.kept > KEPT_BYTES:
             self.words.clear()
             self.kept = 0
+        words = self.words
         split = [self._units(t) if t else [] for t in texts]
-        parts: dict[str, list[str]] = {}
-        unknown: set[str] = set()
-        for unit in {u for units in split for u in units} - self.words.keys():
-            parts[unit] = matches = self.findall(unit)
-            unknown.update(m for m in matches if m not in self.words)
-        found = self.learn(unknown)
-        known = ChainMap(found, self.words)
+        units = set().union(*split).difference(words)
+        parts = dict(zip(units, map(self.findall, units)))
+        found = self.learn(set(chain.from_iterable(parts.values())).difference(words))
+        words.update(found)
         for unit, matches in parts.items():
             if len(matches) != 1:
-                found[unit] = b"".join([known[m] for m in matches])
-        self._keep(found)
-        # Long parts are not kept: those of this call lie in ``found``.
-        return [b"".join([found[u] if u in found else self.words[u] for u in units]) for units in split]
+                found[unit] = words[unit] = b"".join(map(words.__getitem__, matches))
+        ids = [b"".join(map(words.__getitem__, units)) for units in split]
+        for part in found:
+            if len(part) > KEPT_CHARS:
+                del words[part]
+            else:
+                self.kept += len(part) + len(found[part]) + _ENTRY_BYTES
+        return ids
 
     @staticmethod
     def _units(text: str) -> list[str]:
         """Parts of a text that are encoded alone: a match begins at each space before something else than space."""
-        first, *words = text.split(" ")
-        if any(not w or w[0].isspace() for w in words):
-            first, *words = _LAST_SPACE.split(text)
+        first, *words = _LAST_SPACE.split(text) if _SPACES.search(text) else text.split(" ")
         return [first, *[" " + w for w in words]] if first else [" " + w for w in words]
 
 

@@ -6,7 +6,10 @@ costs in the context shortened by a byte; below the empty context all bytes are
 statistics give a text the shortest code is predicted; the score is its share if all languages were as likely before.
 
 The trees are counted by Spark jobs on about ``SAMPLE_ROWS`` whole texts of each language, picked by hash (the stated
-bound of the classifier's sample); predictions then read every text from end to end.
+bound of the classifier's sample); predictions then read every text from end to end, long ones ``CHUNK`` bytes at a time.
+
+``known_language`` filters by the same code lengths: limits come from all labelled rows, each priced by trees of the half
+it isn't in. One set of trees after the other is sent to the workers and taken back when its rows are staged.
 
 Nulls, ties and other cases: null texts and texts without a letter are ``und`` with score 0, as all are if nothing
 could be learned; rows without language teach nothing, nor do rows without id, which are not held out either; equally
@@ -19,16 +22,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, table
+from tidemark.sources.staging import drop, staged
 
 #: Expected number of training texts per language; bounds the trees, whatever the size of the corpus.
 SAMPLE_ROWS = 400
 ORDER = 3
 UNKNOWN = "und"
 USUAL, TOLERANCE = 0.99, 2.0
+#: So many bits must a text's code be longer than the limit of its language allows before it is rejected.
+EVIDENCE = 16
+#: Characters of short texts, and bytes of a long one, that are priced at a time.
+CHUNK = 1 << 18
 _PAD = b" " * ORDER
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -37,11 +46,16 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def _codes(raw: bytes) -> np.ndarray:
+    """Codes of all bytes but the first three, each with the three before it."""
+    wide = np.frombuffer(raw, np.uint8).astype(np.uint32)
+    return (wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:]
+
+
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all bytes with the three before them, text after text, and where the texts begin."""
     parts = [t.encode() for t in texts]
-    raw = np.frombuffer(_PAD + _PAD.join(parts), np.uint8).astype(np.uint32)
-    code = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
+    code = _codes(_PAD + _PAD.join(parts))
     begin = np.cumsum([0] + [len(p) + ORDER for p in parts[:-1]])
     inside = np.ones(len(code), bool)
     for k in range(ORDER):
@@ -50,6 +64,20 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[inside], at
 
 
+def _blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of texts in the list, codes of their bytes and where the texts begin in these: short texts together,
+    a long one in pieces of its own."""
+    sizes = np.array([len(t) for t in texts])
+    short = np.flatnonzero((sizes > 0) & (sizes < CHUNK))
+    for rows in np.split(short, np.flatnonzero(np.diff(np.cumsum(sizes[short]) // CHUNK)) + 1):
+        if len(rows):
+            yield rows, *_grams([texts[i] for i in rows])
+    for row in np.flatnonzero(sizes >= CHUNK):
+        raw = _PAD + texts[row].encode()
+        for begin in range(0, len(raw) - ORDER, CHUNK):
+            yield np.array([row]), _codes(raw[begin : begin + CHUNK + ORDER]), np.zeros(1, np.int64)
+
+
 class Trees:
     """Frozen code lengths of all languages."""
 
@@ -144,8 +172,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, 2 << 20):
             for lang, texts in batch.groupby("lang")["text"]:
-                grams, n = np.unique(_grams(texts.tolist())[0], return_counts=True)
-                yield pd.DataFrame({"lang": lang, "gram": grams.astype(np.int64), "n": n})
+                for _, code, _ in _blocks(texts.tolist()):
+                    grams, n = np.unique(code, return_counts=True)
+                    yield pd.DataFrame({"lang": lang, "gram": grams.astype(np.int64), "n": n})
 
     grams = drawn.select("lang", F.lower("text").alias("text")).mapInPandas(count, "lang string, gram bigint, n bigint")
     grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # at most the bytes of the sample
@@ -155,10 +184,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
     return Trees(languages.tolist(), language, grams["gram"].to_numpy().astype(np.uint64), grams["n"].to_numpy())
 
 
-def identify(docs: DataFrame, training: DataFrame, pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``."""
-    model = train(training)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _identified(docs: DataFrame, shared: Broadcast, pred: str, score: str) -> DataFrame:
+    """:func:`identify` by the trees in ``shared``."""
 
     def predict(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         trees = shared.value
@@ -167,16 +194,15 @@ def identify(docs: DataFrame, training: DataFrame, pred: str = "lang_pred", scor
             scores, rates = np.zeros(len(column)), np.full(len(column), np.nan)
             rows = np.flatnonzero(column.notna().to_numpy()) if trees else []
             if len(rows):
-                sizes = column.iloc[rows].str.len().to_numpy()
-                block = np.cumsum(sizes) >> 21
-                for edge in np.split(rows, np.flatnonzero(np.diff(block)) + 1):
-                    code, at = _grams(column.iloc[edge].tolist())
-                    bits = np.add.reduceat(trees.costs(code).astype(np.float64), at)
-                    best = bits.argmin(axis=1)
-                    least = bits[np.arange(len(bits)), best]
-                    names[edge] = np.array(trees.languages, object)[best]
-                    scores[edge] = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
-                    rates[edge] = least / np.diff(np.append(at, len(code)))
+                bits, size = np.zeros((len(rows), len(trees.languages))), np.zeros(len(rows))
+                for some, code, at in _blocks(column.iloc[rows].tolist()):
+                    bits[some] += np.add.reduceat(trees.costs(code), at, dtype=np.float64)
+                    size[some] += np.diff(np.append(at, len(code)))
+                best = bits.argmin(axis=1)
+                least = bits[np.arange(len(bits)), best]
+                names[rows] = np.array(trees.languages, object)[best]
+                scores[rows] = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
+                rates[rows] = least / size
             yield pd.DataFrame({"p": names, "s": scores, "b": rates})
 
     udf = F.pandas_udf(predict, "p string, s double, b double")
@@ -188,13 +214,39 @@ def identify(docs: DataFrame, training: DataFrame, pred: str = "lang_pred", scor
     )
 
 
+def identify(docs: DataFrame, training: DataFrame, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All rows and columns of ``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``."""
+    return _identified(docs, docs.sparkSession.sparkContext.broadcast(train(training)), pred, score)
+
+
 def limits(docs: DataFrame) -> DataFrame:
     """lang and the highest ``bits_per_byte`` of texts in it: ``TOLERANCE`` times what ``USUAL`` of all labelled rows
     stay below, each priced by trees of the half of ``docs`` (doc_id, text, lang) it isn't in."""
     labelled = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
-    half = [labelled.where(remainder(2) == k) for k in (0, 1)]
-    priced = identify(half[0], half[1]).unionByName(identify(half[1], half[0])).where("bits_per_byte is not null")
-    return priced.groupBy("lang").agg((TOLERANCE * F.percentile_approx("bits_per_byte", USUAL)).alias("most"))
+    priced = []
+    for k in (0, 1):
+        shared = docs.sparkSession.sparkContext.broadcast(train(labelled.where(remainder(2) == 1 - k)))
+        rates = _identified(labelled.where(remainder(2) == k), shared, "lang_pred", "score")
+        priced.append(staged(rates.select("lang", "bits_per_byte").where("bits_per_byte is not null"), "bits"))
+        shared.destroy()
+    most = priced[0].unionByName(priced[1]).groupBy("lang")
+    most = staged(most.agg((TOLERANCE * F.percentile_approx("bits_per_byte", USUAL)).alias("most")), "limits")
+    drop(*priced)
+    return most
+
+
+def known_language(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose text has a letter and a code as short as usual for labelled texts of the language that fits
+    best; ``lang`` becomes that language. If no row has one, nothing is learned and all texts with a letter stay."""
+    most = F.broadcast(limits(docs).select(F.col("lang").alias("_lang"), "most"))  # one row per language
+    found = identify(docs, docs, "_lang", "_score")
+    # Bits beyond the limit; a text of few bytes can be odd by chance.
+    beyond = (F.col("bits_per_byte") - F.col("most")) * F.octet_length(F.lower("text"))
+    kept = found.join(most, "_lang", "left").where(
+        F.col("text").rlike(r"\p{L}") & (F.coalesce(beyond, F.lit(0)) <= EVIDENCE)
+    )
+    lang = F.when(F.col("_lang") != UNKNOWN, F.col("_lang")).otherwise(F.col("lang"))
+    return kept.withColumn("lang", lang).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_language_id(spark, sf_dir) -> DataFrame:
