@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
-from tidemark.llm.language_id import UNKNOWN, identify, limits
+from tidemark.llm.language_id import known_language
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import packed
 from tidemark.llm.substring_dedup import substring_dedup
@@ -23,18 +23,10 @@ from tidemark.sources.staging import staged
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Near duplicates here are texts whose sets of word 5-grams have a Jaccard coefficient of 0.8 or more.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
-#: So many bits must a text's code be longer than the limit of its language allows before it is rejected.
-EVIDENCE = 16
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs.select(*COLUMNS), docs, "_lang", "_score")
-    most = F.broadcast(limits(docs).select(F.col("lang").alias("_lang"), "most"))  # one row per language
-    # Bits beyond the limit; a text of few bytes can be odd by chance.
-    beyond = (F.col("bits_per_byte") - F.col("most")) * F.octet_length(F.lower("text"))
-    kept = found.join(most, "_lang", "left").where(F.col("text").rlike(r"\p{L}") & (F.coalesce(beyond, F.lit(0)) <= EVIDENCE))
-    lang = F.when(F.col("_lang") != UNKNOWN, F.col("_lang")).otherwise(F.col("lang"))
-    return kept.withColumn("lang", lang).select(*COLUMNS)
+    return known_language(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
