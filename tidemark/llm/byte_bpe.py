@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, table
+from tidemark.llm.common import slices, small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_BYTES = 256
@@ -282,6 +282,7 @@ def _both(vocabulary: str) -> tuple[Encoder, Decoder]:
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """What ``decode(encode(docs))`` gives, by one Python worker a task."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, 2 << 20):

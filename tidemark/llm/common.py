@@ -20,6 +20,18 @@ def by_value(module: str) -> None:
 
 by_value(__name__)
 
+#: Bytes at which an Arrow batch to a Python worker ends.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session end at ``BATCH_BYTES`` from here on, if they don't end earlier already: a batch lies
+    in the executor's direct memory and, as text, twice in the worker's."""
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -48,4 +60,4 @@ def strings(values: list) -> pd.Series:
     return pd.Series(values, dtype=object)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "by_value", "slices", "strings", "table", "whole_text"]
+__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "by_value", "slices", "small_batches", "strings", "table", "whole_text"]

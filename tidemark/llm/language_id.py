@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, table
+from tidemark.llm.common import slices, small_batches, table
 from tidemark.sources.staging import drop, staged
 
 #: Expected number of training texts per language; bounds the trees, whatever the size of the corpus.
@@ -162,6 +162,7 @@ class Trees:
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
     """Trees of the languages in ``docs`` (doc_id, text, lang)."""
+    small_batches(docs.sparkSession)
     labelled = docs.where("lang is not null and text is not null and doc_id is not null")
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     # One row per language.
