@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import small_batches, table
 from tidemark.llm.language_id import known_language
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import packed
@@ -30,6 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     kept = ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select(F.col("component_id").alias("kept")).where("kept is not null").distinct()
     rows = docs.select(*COLUMNS)
     named = rows.join(kept, F.col("doc_id") == F.col("kept"), "left_semi")
@@ -41,11 +42,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     cleaned = substring_dedup(docs.select(*COLUMNS), "_removed")
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packed(docs)
 
 
