@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,20 @@ def by_value(module: str) -> None:
 
 by_value(__name__)
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, after which what it took goes back to the machine: else an idle worker, of which an
+    executor has several, keeps the most it ever took."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 #: Bytes at which an Arrow batch to a Python worker ends.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -60,4 +78,4 @@ def strings(values: list) -> pd.Series:
     return pd.Series(values, dtype=object)
 
 
-__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "by_value", "slices", "small_batches", "strings", "table", "whole_text"]
+__all__ = ["DOCUMENT_COLUMNS", "AnalysisException", "by_value", "lean", "slices", "small_batches", "strings", "table", "whole_text"]

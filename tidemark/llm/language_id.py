@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, small_batches, table
+from tidemark.llm.common import lean, slices, small_batches, table
 from tidemark.sources.staging import drop, staged
 
 #: Expected number of training texts per language; bounds the trees, whatever the size of the corpus.
@@ -103,7 +103,9 @@ class Trees:
                 direct = -np.log2(seen / (total + distinct)[of])
             below = shorter[np.searchsorted(known, keys & ((np.uint64(1) << (width - np.uint64(8))) - np.uint64(1)))]
             cost = np.where(seen > 0, direct, escape[of] + below)
-            self.tables.append((keys, cost, contexts, escape))
+            # The longest grams have a table of their own.
+            below_top = (keys, cost.astype(np.float32)) if order < ORDER else (None, None)
+            self.tables.append((*below_top, contexts, escape.astype(np.float32)))
             known, shorter = keys, cost
         self._spread(known.astype(np.uint32), shorter.astype(np.float32))
 
@@ -149,10 +151,12 @@ class Trees:
         for order in range(ORDER, -1, -1):
             keys, cost, contexts, escape = self.tables[order]
             own = gram[left] & ((np.uint64(1) << np.uint64(8 * (order + 1))) - np.uint64(1))
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            hit = keys[at] == own
-            out[left[hit]] += cost[at[hit]]
-            left, own = left[~hit], own[~hit] >> np.uint64(8)
+            if order < ORDER:
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                hit = keys[at] == own
+                out[left[hit]] += cost[at[hit]]
+                left, own = left[~hit], own[~hit]
+            own = own >> np.uint64(8)
             at = np.minimum(np.searchsorted(contexts, own), len(contexts) - 1)
             hit = contexts[at] == own
             out[left[hit]] += escape[at[hit]]
@@ -170,6 +174,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
         F.pmod(F.xxhash64("doc_id", F.lit("ppm")), F.lit(1 << 30)) < F.lit(float(sample_rows << 30)) / F.col("rows")
     )
 
+    @lean
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, 2 << 20):
             for lang, texts in batch.groupby("lang")["text"]:
@@ -188,6 +193,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
 def _identified(docs: DataFrame, shared: Broadcast, pred: str, score: str) -> DataFrame:
     """:func:`identify` by the trees in ``shared``."""
 
+    @lean
     def predict(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         trees = shared.value
         for column in columns:

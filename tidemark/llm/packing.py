@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, table
+from tidemark.llm.common import lean, slices, table
 from tidemark.sources.staging import staged
 
 CAPACITY = 1024
@@ -34,7 +34,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The one added token of the vocabulary, which its own library finds in any text.
 ADDED, ADDED_ID = "<|endoftext|>", 50256
 #: Entries the memory of encoded words keeps before it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 SWEPT = "kind string, item bigint, seq bigint, length bigint, offset bigint, gap bigint, pid int, rank bigint"
@@ -89,6 +89,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
     """Documents as token sequences with an end token, those longer than ``capacity`` in pieces, of which only the
     first is shorter."""
 
+    @lean
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, ending = encoder(vocabulary), array("I", [end]).tobytes()
         added = array("I", [ADDED_ID]).tobytes()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, table
+from tidemark.llm.common import lean, slices, table
 
 WORDS = 16
 SEVERAL = 2
@@ -113,6 +113,7 @@ def covered(plain: list[str], starts: np.ndarray) -> np.ndarray:
     return np.cumsum(edge)[:-1] > 0
 
 
+@lean
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in slices(batches):
         ids, tags, starts, hashes, again = [], [], [], [], []
