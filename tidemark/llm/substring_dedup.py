@@ -151,18 +151,20 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     )
 
 
-def _without(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-    kept, removed = [], []
-    for text, at in zip(texts, starts):
-        if at is None:
-            kept.append(None)
-            removed.append(0)
-            continue
-        raw, plain = sentences(text)
-        gone = covered(plain, at)
-        kept.append("".join(s for s, c in zip(raw, gone) if not c).rstrip())
-        removed.append(int(gone.sum()))
-    return pd.DataFrame({"text": kept, "n_removed": np.array(removed, np.int32)})
+@lean
+def _without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for texts, starts in batches:
+        kept, removed = [], []
+        for text, at in zip(texts, starts):
+            if at is None:
+                kept.append(None)
+                removed.append(0)
+                continue
+            raw, plain = sentences(text)
+            gone = covered(plain, at)
+            kept.append("".join(s for s, c in zip(raw, gone) if not c).rstrip())
+            removed.append(int(gone.sum()))
+        yield pd.DataFrame({"text": kept, "n_removed": np.array(removed, np.int32)})
 
 
 def substring_dedup(docs: DataFrame, removed: str = "n_removed") -> DataFrame:
