@@ -29,6 +29,38 @@ def tables(spark, tmp_path_factory):
     return str(top)
 
 
+def exchanges(node):
+    """Names of the columns of every exchange below a physical node."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        node = node.initialPlan()
+    own = [{node.output().apply(i).name() for i in range(node.output().size())}] if node.nodeName() == "Exchange" else []
+    return own + [e for i in range(node.children().size()) for e in exchanges(node.children().apply(i))]
+
+
+def test_the_text_of_a_post_is_shuffled_once(spark, tables):
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows in (Views(spark, tables).posts, Views(spark, tables).tweets):
+            found = exchanges(rows._jdf.queryExecution().executedPlan())
+            assert sum("text" in names for names in found) == 1 < len(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+
+
+def test_repeated_keys_give_a_post_for_every_combination(spark, tables):
+    got = Views(spark, tables).posts.groupBy("post_id").count().collect()
+    # Document 3 and event 3 stand there twice, document 2 has two labels.
+    assert {r["post_id"]: r["count"] for r in got} == {i: {2: 2, 3: 4}.get(i, 1) for i in range(12)}
+
+
+def test_only_some_feed_entries_show_their_page(spark, tables):
+    rows = Views(spark, tables).entries.select("title", "content").collect()
+    shown = {r["title"]: r["content"][0]["value"] for r in rows if r["content"]}
+    assert shown == {f"Entry {i}": f"<p>page {i % 4}</p>" for i in range(12) if i % 5 in (1, 2) or i == 3}
+    assert len(rows) == 16
+
+
 def test_marks_hold_the_time_of_the_newest_post(spark, tables):
     newest = max(r["createdAt"] for r in stored(Views(spark, tables)).select("createdAt").collect())
     rows = QUERIES["high_water_mark"](spark, tables).collect()
