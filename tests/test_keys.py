@@ -57,3 +57,10 @@ def test_computed_once(spark):
     plan = plan_of(K.compute_once(rows, u=costly).filter("u <> '' and u <> 'x'"))
     assert plan.count("regexp_replace") == 1
     assert K.compute_once(rows, u=costly).filter("u = 'cbt'").count() == 1
+
+
+def test_compute_once_leaves_out_what_nothing_uses(spark):
+    rows = spark.range(5).select("id", F.lit("abc").alias("t"))
+    made = K.compute_once(rows, u=F.regexp_replace("t", "a", F.col("id").cast("string")), v=F.upper("t"))
+    assert "regexp_replace" not in plan_of(made.groupBy("v").count())
+    assert [tuple(r) for r in made.select("u", "v").where("id = 3").collect()] == [("3bc", "ABC")]
