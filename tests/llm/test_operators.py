@@ -465,6 +465,21 @@ def test_license_scan(spark):
     assert license_scan.scan(docs.where("false")).count() == 0
 
 
+def test_license_model_learns_from_every_document(spark):
+    """Far more documents than any sample: all paragraphs without a template's triple are trained on or set the limit."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("note of the day "), "id", F.lit("\nand more of it "), "id").alias("text"))
+    known = license_scan.templates(spark)
+    lines = license_scan.reduced(docs, known, "doc_id").cache()
+    assert lines.where("not near").count() == 8000
+    model, vectors, limit = license_scan.train(lines, known)
+    # Each paragraph of one half with and without a template, the templates and the others.
+    others, seen = sum(map(len, license_scan.TEMPLATES.values())) + len(license_scan.OTHERS), lines.where("half % 2 = 0").count()
+    assert 3500 < seen < 4500 and model.summary.predictions.count() == 2 * seen + others
+    assert 0.5 <= limit <= 0.95 and not hasattr(license_scan, "SAMPLE_DOCUMENTS")
+
+
 # --- all -------------------------------------------------------------------------------------------
 
 
