@@ -395,6 +395,34 @@ def test_learned_partitions_recall(spark):
     assert neighbours.search(table.where("false"), table).count() == 0
 
 
+def test_later_partitions_send_only_what_may_count(spark, monkeypatch):
+    """Vectors without structure, so that nearly all partitions are visited: bounds change no result, and keep the rows of a round few."""
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    known, wanted = rng.normal(size=(9600, 8)), rng.normal(size=(40, 8))
+    sent, bound = [], np.full(40, -np.inf)
+    for part in np.split(known, [100, 400, 1600, 6400]):
+        frame = pd.DataFrame({"vec_id": range(100, 100 + len(part)), "vector": list(part)})
+        out = neighbours.ranked(frame, pd.DataFrame({"vec_id": range(40), "vector": list(wanted), "bound": bound}), 20)
+        for i in range(40):
+            scores = part @ wanted[i]
+            best = [100 + j for j in np.argsort(-scores)[:20] if scores[j] >= bound[i]]
+            assert out[out["query_id"] == i]["vec_id"].tolist() == best
+        sent.append(len(out))
+        seen = known[: {100: 100, 300: 400, 1200: 1600, 4800: 6400}.get(len(part), 9600)]
+        bound = np.sort(seen @ wanted.T, axis=0)[-20]
+    assert sent[0] == 800 and sent[-1] < 500  # a third of the rows came last, and 800 without bounds
+
+    rows = [(i, v.tolist()) for i, v in enumerate(known[:4000])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    found = []
+    for growth in (2, 1000):
+        monkeypatch.setattr(neighbours, "GROWTH", growth)
+        found.append(sorted((r.query_id, r.rank, r.vec_id) for r in neighbours.search(table, table.where("vec_id % 100 = 0")).collect()))
+    assert found[0] == found[1] and len(found[0]) == 800
+
+
 # --- language model --------------------------------------------------------------------------------
 
 

@@ -4,7 +4,9 @@ On a bounded sample of vectors (``SAMPLE``) the graph of nearest neighbours is c
 small network learns which partitions a vector's neighbours lie in. It deals every vector of the table to its most
 probable partition, and sends a query to the most probable ones, where all vectors are ranked by their exact inner
 products. How many it takes is measured: ``CALIBRATION`` vectors are searched in the whole table, and as many partitions
-are visited as hold ``RECALL`` of their true neighbours. Partitions are split into blocks by hash, so that one that holds much of the table is searched by many
+are visited as hold ``RECALL`` of their true neighbours. They are visited in rounds, each ``GROWTH`` times as many as all before, the most probable first:
+of a later round only candidates count that reach the worst of the best found so far, so that a query gets about as many rows from each round, however
+many partitions it visits. Partitions are split into blocks by hash, so that one that holds much of the table is searched by many
 tasks; the best of all blocks are merged by query.
 
 Nulls, ties and other cases: vectors that are null or zero, or hold null or non-finite components, take no part, nor
@@ -34,6 +36,8 @@ PARTITIONS = (4, 256)
 #: A query visits as many partitions as find this share of the true neighbours of so many calibration queries.
 RECALL, CALIBRATION = 0.95, 200
 BLOCK = 4000
+#: Partitions visited up to the end of a round, as a multiple of those up to its start.
+GROWTH = 4
 HIDDEN, EPOCHS = 96, 60
 
 
@@ -169,6 +173,25 @@ def calibrate(index: DataFrame, router, k: int) -> int:
     return int(np.quantile(place, RECALL, method="higher")) + 1
 
 
+def ranked(candidates: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+    """query_id, vec_id and score of the best ``k`` candidates of each query among those that reach its ``bound``."""
+    out = []
+    if len(candidates) and len(queries):
+        ids = candidates["vec_id"].to_numpy()
+        order = np.argsort(ids)
+        ids, known = ids[order], np.stack(candidates["vector"].to_numpy())[order]
+        for at in range(0, len(queries), 256):
+            some = queries.iloc[at : at + 256]
+            wanted = np.stack(some["vector"].to_numpy())
+            scores = wanted @ known.T
+            for query, bound, row in zip(some["vec_id"], some["bound"], scores):
+                row[ids == query] = -np.inf
+                high = np.flatnonzero((row >= bound) & (row > -np.inf))
+                best = high[np.argsort(-row[high], kind="stable")[:k]]  # ids ascend, so ties go to the smaller
+                out += [(query, ids[i], row[i]) for i in best]
+    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+
 def search(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
     """query_id, rank, vec_id and score: the nearest of ``embeddings`` found for each row of ``queries``."""
     spark = embeddings.sparkSession
@@ -189,47 +212,43 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataF
                 p = router.value.probabilities(np.stack(batch["vector"].to_numpy()))
                 parts = np.argsort(-p, axis=1, kind="stable")[:, :probes]
                 out = batch.loc[batch.index.repeat(parts.shape[1])].reset_index(drop=True)
-                yield out.assign(part=parts.ravel().astype(np.int32))
+                place = np.tile(np.arange(parts.shape[1], dtype=np.int32), len(batch))
+                yield out.assign(part=parts.ravel().astype(np.int32), place=place)
 
         return run
 
-    form = "vec_id bigint, vector array<double>, part int"
+    form = "vec_id bigint, vector array<double>, part int, place int"
     own = staged(vectors.select("vec_id", "vector").mapInPandas(deal(1), form), "ann-index")
     asked = vectors.join(queries.select(F.col("vec_id").cast("bigint").alias("vec_id")).distinct(), "vec_id", "left_semi")
     probes = calibrate(own, router, k)
     asked = staged(asked.select("vec_id", "vector").mapInPandas(deal(probes), form), "ann-queries")
     # Blocks by partition: at most as many rows as there are partitions.
     blocks = own.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    turns = asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("turns"))
-    plan = F.broadcast(blocks.join(turns, "part"))
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = own.join(plan, "part").select(
-        "part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), all_of("turns").alias("turn"), "vec_id", "vector"
-    )
-    right = asked.join(plan, "part").select(
-        "part", all_of("blocks").alias("block"), F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn"), "vec_id", "vector"
-    )
 
     def rank(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(candidates) and len(queries):
-            ids = candidates["vec_id"].to_numpy()
-            order = np.argsort(ids)
-            ids, known = ids[order], np.stack(candidates["vector"].to_numpy())[order]
-            for at in range(0, len(queries), 256):
-                some = queries.iloc[at : at + 256]
-                wanted = np.stack(some["vector"].to_numpy())
-                scores = wanted @ known.T
-                for query, row in zip(some["vec_id"], scores):
-                    row[ids == query] = -np.inf
-                    best = np.argsort(-row, kind="stable")[:k]  # ids ascend, so ties go to the smaller
-                    out += [(query, ids[i], row[i]) for i in best if row[i] > -np.inf]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        return ranked(candidates, queries, k)
 
     keys = ["part", "block", "turn"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rank, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
+    found, start, end = spark.createDataFrame([], schema), 0, 1
+    while start < probes:
+        some = asked.where(F.col("place").between(start, end - 1))
+        turns = some.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("turns"))
+        plan = F.broadcast(blocks.join(turns, "part"))
+        # The worst of a query's best, once it has as many as asked for.
+        bounds = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
+        some = some.join(bounds, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+        left = own.join(plan, "part").select(
+            "part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), all_of("turns").alias("turn"), "vec_id", "vector"
+        )
+        right = some.join(plan, "part").select(
+            "part", all_of("blocks").alias("block"), F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn"), "vec_id", "vector", "bound"
+        )
+        new = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rank, "query_id bigint, vec_id bigint, score double")
+        new = new.unionByName(found.select("query_id", "vec_id", "score"))
+        found = staged(new.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k), "ann-found")
+        start, end = end, end * GROWTH
     return found.select("query_id", "rank", "vec_id", "score")
 
 
