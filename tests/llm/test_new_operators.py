@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.compare import connect, difference, rows
 from tidemark.llm import collocations, hard_negatives, minhash_dedup
+from tidemark.llm import ngram_join as ngram_join_module
 from tidemark.llm.ngram_join import ngram_join
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -256,3 +257,29 @@ def test_scores_pass_64_bits(spark):
     paths = counts.limit(0).select("lang", "phrase", "f")
     got = collocations.collocations(collocations.Graph(counts, paths, None)).collect()
     assert [(r.a, r.l, r.r, r.score) for r in got] == [(big, big, 2 * big, 666_666)]
+
+
+def test_open_buckets_make_few_pairs(spark, monkeypatch):
+    """Hundreds of copies of which none links another, in common buckets: the pairs looked at are no square of them."""
+    monkeypatch.setattr(minhash_dedup, "WIDTH", 1)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(400):
+        text = list(base)
+        for at in rng.sample(range(0, 300, 5), 12 if i % 4 else 3):
+            text[at] = f"own{i}x{at}"
+        texts.append(" ".join(text))
+    seen, sized = [], minhash_dedup._sized
+
+    def counting(pairs, named, percent):
+        seen.append(pairs.count())
+        return sized(pairs, named, percent)
+
+    monkeypatch.setattr(minhash_dedup, "_sized", counting)
+    monkeypatch.setattr(ngram_join_module, "_sized", counting)
+    docs = documents(spark, texts)
+    got = minhash_dedup.minhash_classes(docs).collect()
+    assert sum(seen) < 20_000  # 80,000 pairs in all
+    exact = {r.doc_id: r.component_id for r in ngram_join(docs, 5, 85).collect()}
+    assert {r.doc_id: r.component_id for r in got} == exact and 200 < len(set(exact.values())) < 400

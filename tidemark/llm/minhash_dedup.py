@@ -10,8 +10,11 @@ of a Jaccard coefficient of 0.85 miss all 64 tables with a probability of 0.0000
 2. *Tables.* The rest form their keys. Each bucket is a star around its smallest node, however many nodes share it.
 3. *Verify.* Pairs are verified on whole sets, after sizes and parity maps have ruled out what can't link: first each
    node with the star of its largest bucket, then with the stars of buckets that still hold several classes. Buckets whose nodes are in one
-   class are settled. In others the members outside the largest class meet some members of other classes, then more, at
-   last all, so that every pair of a bucket has been verified or is in one class.
+   class are settled.
+4. *Rest.* A large bucket of several classes would have as many pairs as the square of its nodes. The nodes of all buckets that are not settled
+   are therefore indexed once more, by the prefixes of ``ngram_join``: two sets that link share an entry there, so that pairs without one need no look.
+   Of an entry's members those outside the largest class meet some members of other classes, then more, at last all, so that every
+   pair of a bucket that can link has been verified or is in one class.
 
 Nulls, ties and other cases: null and empty texts, and texts without a word, have empty sets and no links; a row without
 ``doc_id`` takes part like any other but gives no name to its class, and a class without any id has null and keeps all its
@@ -28,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_value, slices, strings, table
-from tidemark.llm.ngram_join import _connected, _cross, _mixed, _node, _parity, _sized, _verified, sets
-from tidemark.sources.staging import drop, staged
+from tidemark.llm.ngram_join import _asked, _connected, _mixed, _node, _parity, _sized, _texts, _verified, indexed, settled, sets, shared_entries
+from tidemark.sources.staging import staged
 
 by_value(__name__)
 by_value(sets.__module__)
@@ -38,8 +41,6 @@ WORDS = 5
 PERCENT = 85
 HALVES = 8
 WIDTH = 2
-#: So many others, about, does a node outside its bucket's largest class meet in each round before the last.
-AT_A_TIME = (8, 64)
 
 _RANDOM = np.random.default_rng(11).integers(0, 1 << 63, (2, 2 * HALVES * WIDTH), np.uint64)
 _TIMES, _PLUS = _RANDOM[0] | np.uint64(1), _RANDOM[1]
@@ -104,6 +105,11 @@ def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _several(placed: DataFrame) -> DataFrame:
+    """The buckets that hold several classes."""
+    return placed.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
+
+
 def minhash_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -120,8 +126,7 @@ def minhash_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     links = _verified(checked, named, docs, words, percent)
     labels = _connected(links)
     placed = staged(_placed(left, labels), "placed")
-    mixed = placed.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
-    left = staged(placed.join(mixed, "entry").select("entry", "node", "n", "star", "label"), "mixed")
+    left = staged(placed.join(_several(placed), "entry").select("entry", "node", "n", "star", "label"), "mixed")
     stars = left.where("star = node").select("entry", F.col("label").alias("own"))
     star = left.join(stars, "entry").where("label != own").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
     fresh = staged(_sized(star, named, percent).join(checked, ["a", "b"], "left_anti"), "pairs")
@@ -129,22 +134,20 @@ def minhash_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         found = _verified(fresh, named, docs, words, percent)
         checked, links = checked.unionByName(fresh), links.unionByName(found)
         labels = _connected(links)
-    for each in (*AT_A_TIME, None):
-        # The bound by an entry's place in its set, which the join knows, is the size here.
-        placed = staged(_placed(left.drop("label"), labels).withColumn("most", F.col("n")), "placed")
-        open_buckets, pairs = _cross(placed, each, percent)
-        if open_buckets.isEmpty():
-            break
-        fresh = staged(_sized(pairs, named, percent).join(checked, ["a", "b"], "left_anti"), "pairs")
-        drop(placed, left)
-        left = open_buckets
-        if fresh.isEmpty():
-            continue
-        found = _verified(fresh, named, docs, words, percent)
-        checked = checked.unionByName(fresh)
-        if not found.isEmpty():
-            links = links.unionByName(found)
+    placed = staged(_placed(left.drop("label"), labels), "placed")
+    again = staged(_asked(placed.join(_several(placed), "entry").select("node").distinct(), named), "again")
+    if not again.isEmpty():
+        # A null id and one that stands twice may bring other texts along, whose nodes are left out again.
+        texts = _texts(again, docs)
+        members = shared_entries(indexed(texts.withColumnRenamed("want", "doc_id"), words, percent).where("doc_id = node"))
+        placed = _placed(members, labels).join(_placed(members.select(F.col("star").alias("node")).distinct(), labels).select(F.col("node").alias("star"), F.col("label").alias("own")), "star")
+        star = placed.where("label != own").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
+        fresh = staged(_sized(star, named, percent).join(checked, ["a", "b"], "left_anti"), "pairs")
+        if not fresh.isEmpty():
+            found = _verified(fresh, named, docs, words, percent)
+            checked, links = checked.unionByName(fresh), links.unionByName(found)
             labels = _connected(links)
+        labels, links = settled(members, labels, links, checked, named, docs, words, percent)
     placed = named.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     names = placed.join(least, "label").select("node", "component_id")
