@@ -649,3 +649,28 @@ def test_half_hashes_never_rule_out_a_link():
             assert (ngram_join._whole(low[1], high[1]) == other).all()
             assert told == 0 or gone % 2 or (told == 1) == sure
             assert told >= 0 or not sure
+
+
+def test_near_links_are_told_by_halves():
+    """Whole sets need not be read for links well above the limit, whatever the size."""
+    rng = np.random.default_rng(8)
+    for n, gone in ((100, 3), (200, 8), (400, 20), (3000, 200)):
+        base = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        other = np.unique(np.concatenate([base[gone:], rng.integers(0, 2**64, gone, np.uint64)]))
+        low = [x.astype(np.uint32).view(np.int32) for x in (base, other)]
+        assert ngram_join.alike(base, other, 85) and ngram_join.by_halves(*low, 85) == 1
+    assert ngram_join._spare(2 * 300**2) == 3 and ngram_join._spare(2 * (1 << 20) ** 2) > 512
+
+
+def test_join_keeps_no_entries_staged(spark, docs):
+    """What the join staged for itself is gone when its result is read, and all of it after the pipeline's stage."""
+    import corpus_pipeline
+    from tidemark.sources import staging
+
+    kinds = lambda old: {p.rpartition("/")[2].rpartition("-")[0] for p in set(staging._STAGED) - old}
+    old = set(staging._STAGED)
+    joined = ngram_join.ngram_join(docs)
+    assert joined.count() == docs.count() and not kinds(old) & {"grams", "placed"}
+    old = set(staging._STAGED)
+    frame = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kinds(old) == {"kept"} and 0 < frame.count() <= docs.count()
