@@ -18,7 +18,7 @@ from tidemark.llm.language_id import known_language
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import packed
 from tidemark.llm.substring_dedup import substring_dedup
-from tidemark.sources.staging import staged
+from tidemark.sources.staging import staged, staged_last
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Near duplicates here are texts whose sets of word 5-grams have a Jaccard coefficient of 0.8 or more.
@@ -31,10 +31,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    kept = ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select(F.col("component_id").alias("kept")).where("kept is not null").distinct()
+    classes = lambda: ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select(F.col("component_id").alias("kept"))
+    # Staged as ids, so that nothing the join staged lies beside the later stages.
+    kept = staged_last(lambda: classes().where("kept is not null").distinct(), "kept")
     rows = docs.select(*COLUMNS)
     named = rows.join(kept, F.col("doc_id") == F.col("kept"), "left_semi")
-    # Partitioned by id already; of equal rows one stays.
+    # Of equal rows one stays.
     named = named.groupBy("doc_id", F.xxhash64("text").alias("_text")).agg(
         *[F.first(c).alias(c) for c in COLUMNS if c != "doc_id"]
     )
