@@ -31,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    classes = lambda: ngram_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select(F.col("component_id").alias("kept"))
+    classes = lambda: ngram_join(docs, NEAR_WORDS, NEAR_PERCENT, count_links=False).select(F.col("component_id").alias("kept"))
     # Staged as ids, so that nothing the join staged lies beside the later stages.
     kept = staged_last(lambda: classes().where("kept is not null").distinct(), "kept")
     rows = docs.select(*COLUMNS)

@@ -207,6 +207,43 @@ def test_ngram_join_of_hot_groups(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked(rows, 4, 85)
 
 
+@pytest.mark.parametrize("block, sets_a_block", [(1 << 17, 1 << 10), (1 << 9, 4)])
+def test_ngram_join_counts_every_link(spark, monkeypatch, block, sets_a_block):
+    """Links inside a class as well, however many of them its class took."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets_a_block)
+    rng = random.Random(8)
+    rows = []
+    for group in range(6):
+        base = [rng.choice(WORDS) + str(rng.randrange(999)) for _ in range(90)]
+        for i in range(6 * group + 1):
+            text = list(base)
+            for at in rng.sample(range(90), rng.randrange(0, 4)):
+                text[at] = f"own{group}x{i}x{at}"
+            rows.append((100 * group + i, " ".join(text)))
+    rows += [(900, rows[-1][1]), (900, rows[-1][1]), (901, None), (902, "alone")]
+    sets = {d: {tuple(w[i : i + 4]) for i in range(max(0, len(w) - 3))} for d, t in rows for w in [(t or "").split()]}
+    different = {frozenset(s) for s in sets.values()}
+    want = {d: sum(bool(s) and s != o and 100 * len(s & o) >= 85 * len(s | o) for o in different) for d, s in sets.items()}
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.n_verified_links for r in got} == want
+    plain = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), count_links=False).collect()
+    assert sorted((r.doc_id, r.component_id) for r in plain) == sorted((r.doc_id, r.component_id) for r in got)
+
+
+def test_blocks_of_columns_count_alike(monkeypatch):
+    rng = np.random.default_rng(2)
+    grams = [np.unique(rng.integers(0, 60, 50)).astype(np.uint64) for _ in range(30)]
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    for left in (np.ones(30, bool), np.arange(30) < 11):
+        right = left if left.all() else ~left
+        want = [
+            sum(ngram_join.alike(g, h, 50) for j, h in enumerate(grams) if j != i and ((left[i] and right[j]) or (right[i] and left[j])))
+            for i, g in enumerate(grams)
+        ]
+        assert ngram_join.block_links(grams, left, right, 50).tolist() == want
+
+
 # --- language --------------------------------------------------------------------------------------
 
 
