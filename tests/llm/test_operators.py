@@ -362,6 +362,32 @@ def test_html_article_and_repeats(spark):
     assert got[20] == "Welcome to the pages of our little town club\n\nMore"
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 40])
+def test_repeats_inside_articles(spark, monkeypatch, bound):
+    """Lines that stand in many articles of a host are none of them; copies and a host with few pages keep theirs."""
+    monkeypatch.setattr(html_extraction, "RANGE", bound)
+    rng = random.Random(6)
+    line = "Read our newsletter every morning and never miss a story"
+    own = {i: [sentence(rng, 30), sentence(rng, 40)] for i in range(40)}
+    page = lambda parts: f"<html><body><article>{''.join(f'<p>{p}</p>' for p in parts)}</article></body></html>"
+    rows = [(i, f"http://big.com/{i}", page([own[i][0], line, own[i][1]] if i < 20 else own[i])) for i in range(30)]
+    rows += [(100 + i, f"http://big.com/copy{i}", page(own[29])) for i in range(9)]
+    rows += [(200 + i, f"http://small.com/{i}", page([*own[i], line])) for i in (30, 31)]
+    rows += [(300 + i, f"http://copied.com/{i}", page(own[32])) for i in range(5)]
+    rows += [(400 + i, f"http://bare.com/{i}", f"<p>{own[33][0]}</p>") for i in range(2)]
+    got = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).collect()}
+    want = {i: own[i] for i in range(30)} | {100 + i: own[29] for i in range(9)} | {200 + i: [*own[i], line] for i in (30, 31)}
+    want |= {300 + i: own[32] for i in range(5)} | {400 + i: own[33][:1] for i in range(2)}
+    assert got == {i: "\n\n".join(parts) for i, parts in want.items()}
+
+
+def test_codes_pack_and_unpack():
+    codes = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 5000).astype(np.uint64))
+    for some in (codes, codes[:1], codes[:0]):
+        assert np.array_equal(html_extraction.unpacked(html_extraction.packed(some)), some)
+    assert len(html_extraction.packed(codes)) < 5 * len(codes)
+
+
 # --- fingerprints ----------------------------------------------------------------------------------
 
 
