@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import threading
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import queries
 from tests.test_collect import SPANISH, feed, landed, post, tweet
 from tidemark.plans import collect as C
 from tidemark.sources import staging
@@ -40,3 +42,21 @@ def test_folders_are_noted_by_thread(spark):
     staging.remove(outer)
     assert not set(inner) & set(staging._STAGED)
     staging.remove([p for p in staging._STAGED if "/other-" in p])
+
+
+def test_streams_land_packed(spark, tmp_path, monkeypatch):
+    taken = []
+    monkeypatch.setattr(queries, "shared_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(queries, "enriched_columns", lambda rows: rows)
+
+    def passes(files, *others):
+        taken.append(files.writeStream.foreachBatch(lambda rows, n: taken.extend(r.payload for r in rows.collect())))
+        return taken[0].option("checkpointLocation", str(tmp_path / "done")).trigger(availableNow=True).start()
+
+    monkeypatch.setattr(queries.ingest, "start_passes", passes)
+    texts = {kind: [f"{kind} {i}\x1e" if kind == "feeds_xml" else f"{kind} {i}" for i in range(9)] for kind in ("facebook_json", "tweets_json", "feeds_xml")}
+    frames = {kind: spark.createDataFrame([(x.rstrip("\x1e"),) for x in lines], "payload string") for kind, lines in texts.items()}
+    queries.stream_passes(SimpleNamespace(spark=spark, pages=None, terms=None, sources=None, reactions=None, **frames))
+    files = [p.name for p in tmp_path.glob("landing-*/*/part-*")]
+    assert files and all(name.endswith(".gz") for name in files)
+    assert sorted(taken[1:]) == sorted(x.rstrip("\x1e") for lines in texts.values() for x in lines)
